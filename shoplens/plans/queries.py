@@ -4,13 +4,18 @@ from pyspark.sql import functions as F
 
 from shoplens import config
 from shoplens.functions import events as E
-from shoplens.functions import text
+from shoplens.functions import text, vectors as V
+from shoplens.functions.experiments import variant
 from shoplens.operators import (catalog, complements, content, cooccurrence, evaluation, experiments,
                                 interactions as I, items as IT, metrics, profiles, sanity)
 from shoplens.plans.oracles import settled, sql
+from shoplens.operators import factorization, neighbours, rerank as RR, routing
+from shoplens.operators.rerank import candidates as RC, context as RX, factors as RF, variety as RV, views
+from shoplens.plans import jobs
 from shoplens.plans.workspace import workspace
 from shoplens.sources import contract, keyed, lake
 from shoplens.sources.tables import behaviour_events, table
+from shoplens.streaming import features as SF, ingest, sessions as SS
 
 QUERIES, ORACLES = {}, {}
 
@@ -485,3 +490,468 @@ def cold_start_report(spark, d):
 def cold_start_history(spark, d):
     users = sanity.sample_users(_content(spark, d).select("user_id").distinct())
     return sanity.cold_history_rows(behaviour_events(spark, d), users)
+
+
+# --- embedding neighbours, routing ------------------------------------------------------------------
+
+@query("vector_norms", """SELECT CAST(vec_id AS INT) AS item_id, round(sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 6) AS norm,
+    round(list_sum(list_transform(embedding, lambda x: round(CAST(x AS DOUBLE), 5))), 6) AS rounded_sum FROM embeddings""")
+def vector_norms(spark, d):
+    vectors = table(spark, d, "embeddings")
+    rounded = V.round_vector(F.transform("embedding", lambda x: x.cast("double")))
+    return vectors.select(F.col("vec_id").cast("int").alias("item_id"), r6(V.norm("embedding"), "norm"),
+                          F.round(F.aggregate(rounded, F.lit(0.0), lambda acc, x: acc + x), 6).alias("rounded_sum"))
+
+
+@query("embedding_neighbours", f"SELECT item_id, other_id, {settled('score', 4)} AS score, CAST(rank AS INT) AS rank FROM sim")
+def embedding_neighbours(spark, d):
+    ws = workspace(spark, d)
+    return neighbours.similar_items(jobs.stored_vectors(ws, "item_id"), ws.table("item_features"), ws.table("interaction_matrix")) \
+        .select("item_id", "other_id", "score", "rank")
+
+
+@query("source_routing", "SELECT user_id, source, count(*) AS items, min(item_id) AS lowest FROM ctlists GROUP BY ALL")
+def source_routing(spark, d):
+    ws = workspace(spark, d)
+    return routing.route(ws.table("popular_lists"), ws.table("content_lists")) \
+        .select("user_id", "source", F.size("recommendations").cast("bigint").alias("items"),
+                F.array_min(F.transform("recommendations", lambda r: r["item_id"])).alias("lowest"))
+
+
+@query("users_by_source", "SELECT source, count(DISTINCT user_id) AS users FROM ctlists GROUP BY ALL")
+def users_by_source(spark, d):
+    return routing.users_by_source(workspace(spark, d).table("control_lists"))
+
+
+@query("personas", """(SELECT user_id, segment, 'als' AS source, n_events, views, carts, purchases, key AS top_category FROM ustats
+      LEFT JOIN (SELECT user_id, key FROM cats WHERE rank = 1) USING (user_id)
+      WHERE segment = 'warm' AND user_id IN (SELECT user_id FROM ctlists WHERE source = 'als')
+      ORDER BY purchases DESC, carts DESC, n_events DESC, user_id LIMIT 12)
+    UNION ALL (SELECT user_id, segment, 'content', n_events, views, carts, purchases, key FROM ustats
+      LEFT JOIN (SELECT user_id, key FROM cats WHERE rank = 1) USING (user_id)
+      WHERE user_id IN (SELECT user_id FROM ctlists WHERE source = 'content') ORDER BY n_events DESC, carts DESC, user_id LIMIT 8)""")
+def personas(spark, d):
+    ws = workspace(spark, d)
+    users = ws.table("user_docs").withColumn("top_category", F.col("categories")[0]["key"])
+    return catalog.personas(users, ws.table("control_lists").select("user_id", "source"))
+
+
+# --- re-ranker ------------------------------------------------------------------------------------------
+
+def _index(ws):
+    return catalog.search_index(ws.table("item_docs"))
+
+
+def _staged_requests(ws):
+    if "prepared" not in ws._tables:
+        ws._tables["index"] = ws.stage(_index(ws), "index")
+        ws._tables["prepared"] = ws.stage(RR.prepared_requests(*jobs.rerank_inputs(ws), ws._tables["index"]), "prepared")
+    return ws._tables["prepared"], ws._tables["index"]
+
+
+@query("popular_in_category", f"""SELECT category_code AS category, item_id, CAST(rank AS INT) AS rank FROM incode WHERE rank <= {config.CATEGORY_CANDIDATES}
+    UNION ALL SELECT CAST(category_id AS VARCHAR), item_id, CAST(rank AS INT) FROM inid WHERE rank <= {config.CATEGORY_CANDIDATES}""")
+def popular_in_category(spark, d):
+    index = _index(workspace(spark, d))
+    part = lambda key: RC.popular_in_category(index, key).select(F.col(key).cast("string").alias("category"), "item_id", "rank")
+    return part("category_code").unionByName(part("category_id"))
+
+
+@query("complement_categories", """SELECT category AS category_code, CAST(rank AS INT) AS position, other AS category, score, users, kind, value FROM allcompl""")
+def complement_categories(spark, d):
+    ws = workspace(spark, d)
+    codes = ws.table("item_docs").where(F.col("category_code").isNotNull()).select("category_code")
+    rows = RC.complement_categories(codes, ws.table("category_complements"), _index(ws))
+    return rows.select("category_code", F.posexplode("complements").alias("p", "c")) \
+        .select("category_code", (F.col("p") + 1).alias("position"), "c.*")
+
+
+def _session_rows(ws):
+    return RX.session_rows(ws.table("sessions"), ws.table("item_docs"), _index(ws).select("item_id"))
+
+
+@query("session_profile", "SELECT user_id, token, round(w, 6) AS weight FROM sprof")
+def session_profile(spark, d):
+    return RX.session_profiles(_session_rows(workspace(spark, d))).select("user_id", "token", r6("weight"))
+
+
+@query("session_shares", """SELECT user_id, 'category' AS kind, key, round(share, 6) AS share FROM scats
+    UNION ALL SELECT user_id, 'brand', key, round(share, 6) FROM sbrands""")
+def session_shares(spark, d):
+    rows = _session_rows(workspace(spark, d))
+    part = lambda kind: RX.session_shares(rows, kind).select("user_id", F.lit(kind).alias("kind"), "key", r6("share"))
+    return part("category").unionByName(part("brand"))
+
+
+@query("root_shares", """SELECT request_id, root, round(share, 6) AS share FROM req JOIN vroots USING (user_id)""")
+def root_shares(spark, d):
+    rows, _ = _staged_requests(workspace(spark, d))
+    return rows.select("request_id", F.explode("root_shares").alias("root", "share")).select("request_id", "root", r6("share"))
+
+
+@query("reference_price", "SELECT request_id, round(ref, 6) AS reference_price FROM refprice")
+def reference_price(spark, d):
+    rows, _ = _staged_requests(workspace(spark, d))
+    return rows.select("request_id", r6("reference_price"))
+
+
+@query("copurchase_scores", "SELECT request_id, item_id, score FROM copur")
+def copurchase_scores(spark, d):
+    rows, _ = _staged_requests(workspace(spark, d))
+    return rows.select("request_id", F.explode("copurchase").alias("item_id", "score"))
+
+
+@query("rerank_candidates", "SELECT request_id, item_id, source FROM cand")
+def rerank_candidates(spark, d):
+    ws = workspace(spark, d)
+    rows, index = _staged_requests(ws)
+    return RF.candidate_items(rows, ws.table("item_docs"), index.select("item_id")).select("request_id", "item_id", "source")
+
+
+_FACTOR_COLUMNS = ("context", "complement", "copurchase", "content", "session", "category", "price", "brand", "popularity")
+
+
+def _with_factors(ws):
+    rows, index = _staged_requests(ws)
+    return RF.with_factors(rows, ws.table("item_docs"), index.select("item_id"))
+
+
+@query("rerank_factors", "SELECT request_id, item_id, round(als_raw, 6) AS als_raw, round(least(coalesce(als_raw, 0.0), 1.0), 6) AS als, "
+       + ", ".join(f"round({c}, 6) AS {c}" for c in _FACTOR_COLUMNS) + " FROM fac")
+def rerank_factors(spark, d):
+    return _with_factors(workspace(spark, d)).select("request_id", "item_id", r6("als_raw"), r6("als"), *[r6(c) for c in _FACTOR_COLUMNS])
+
+
+def _contribution_sql(name, product, home):
+    value = "least(coalesce(als_raw, 0.0), 1.0)" if name == "als" else name
+    weight = f"CASE WHEN product THEN {product} ELSE {home} END"
+    return f"CASE WHEN final <> 0 THEN round({weight} * {value} / final, 3) ELSE 0.0 END AS {name}"
+
+
+@query("rerank_scores", "SELECT request_id, item_id, score, " + ", ".join(
+    _contribution_sql(name, *[config.RANKING_PROFILES[p].get(name, ("", 0.0))[1] for p in ("product", "home")]) for name in RF.FACTORS)
+    + " FROM scored")
+def rerank_scores(spark, d):
+    scored = RF.with_scores(_with_factors(workspace(spark, d)))
+    weight = lambda name: F.when(F.col("profile_name") == "product", config.RANKING_PROFILES["product"].get(name, ("", 0.0))[1]) \
+        .otherwise(config.RANKING_PROFILES["home"].get(name, ("", 0.0))[1])
+    part = lambda name: F.coalesce(F.when(F.col("final") != 0, F.round(weight(name) * F.col(name) / F.col("final"), 3)), F.lit(0.0)).alias(name)
+    return scored.select("request_id", "item_id", "score", *[part(name) for name in RF.FACTORS])
+
+
+@query("reranked", f"""SELECT request_id, CAST(position AS INT) AS position, item_id, source, score,
+    CAST(j AS INT) AS same_category_before, round(pow(dec, j), 4) AS multiplier, CAST(round(CAST(adj AS DECIMAL(24, 12)), 4) AS DOUBLE) AS rank_score,
+    round(als_raw, 4) AS als_prediction FROM placed""")
+def reranked(spark, d):
+    return RV.diversify(RF.with_scores(_with_factors(workspace(spark, d)))).select(
+        "request_id", "position", "item_id", "source", "score", "same_category_before", "multiplier", "rank_score", "als_prediction")
+
+
+@query("strategies", "SELECT user_id, coalesce(any_value(source), 'none') AS strategy, count(item_id) AS precomputed_count FROM counts LEFT JOIN ctlists USING (user_id) GROUP BY user_id")
+def strategies(spark, d):
+    ws = workspace(spark, d)
+    return views.strategies(ws.table("user_docs"), ws.table("control_lists")) \
+        .select("user_id", "strategy", F.col("precomputed_count").cast("bigint").alias("precomputed_count"))
+
+
+@query("rank_changes", """SELECT a.request_id, count(*) FILTER (b.item_id IS DISTINCT FROM a.item_id) AS changed FROM placed a
+    LEFT JOIN (SELECT replace(request_id, 'product:', 'home:') AS request_id, position, item_id FROM placed WHERE request_id LIKE 'product:%') b
+      USING (request_id, position) WHERE a.request_id LIKE 'home:%' GROUP BY ALL""")
+def rank_changes(spark, d):
+    """Home pages against the product pages the same users saw just before."""
+    placed = RV.diversify(RF.with_scores(_with_factors(workspace(spark, d)))).select("request_id", "position", "item_id")
+    product = placed.where(F.col("request_id").startswith("product:")) \
+        .withColumn("request_id", F.replace("request_id", F.lit("product:"), F.lit("home:")))
+    return RV.changed_positions(product, placed.where(F.col("request_id").startswith("home:")))
+
+
+@query("item_details", f"""SELECT i.item_id, {NAME} AS name, (SELECT count(*) FROM tokw t WHERE t.item_id = i.item_id) AS tokens,
+    coalesce(len(v.v), 0) AS embedding_dims, coalesce(s.n, 0) AS n_similar, coalesce(s.best, -1) AS best_similar,
+    coalesce(a.n, 0) AS n_also, coalesce(a.best, -1) AS best_also, a.name AS best_also_name, coalesce(c.n, 0) AS n_complements
+    FROM items i LEFT JOIN vec v ON v.id = i.item_id
+    LEFT JOIN (SELECT item_id, count(*) AS n, arg_min(other_id, rank) AS best FROM sim GROUP BY ALL) s ON s.item_id = i.item_id
+    LEFT JOIN (SELECT also.item_id, count(*) AS n, arg_min(other_id, rank) AS best, arg_min({NAME}, rank) AS name FROM also
+      JOIN items o ON o.item_id = also.other_id GROUP BY ALL) a ON a.item_id = i.item_id
+    LEFT JOIN (SELECT category, count(*) AS n FROM allcompl GROUP BY ALL) c ON c.category = i.category_code""")
+def item_details(spark, d):
+    ws = workspace(spark, d)
+    items = ws.table("item_docs")
+    related = RC.complement_categories(items.where(F.col("category_code").isNotNull()).select("category_code"),
+                                       ws.table("category_complements"), _index(ws))
+    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
+    best = lambda c: F.coalesce(F.col(c)[0]["item_id"], F.lit(-1))
+    return views.item_details(items, related).select(
+        "item_id", "name", size("tokens").alias("tokens"), F.col("embedding_dims").cast("bigint").alias("embedding_dims"),
+        size("similar").alias("n_similar"), best("similar").alias("best_similar"), size("also").alias("n_also"),
+        best("also").alias("best_also"), F.col("also")[0]["item"]["name"].alias("best_also_name"),
+        size("complements").alias("n_complements"))
+
+
+@query("user_details", f"""SELECT u.user_id, true AS known, coalesce(c.strategy, 'none') AS strategy, coalesce(c.n, 0) AS precomputed_count,
+    u.n_events, u.segment, u.avg_price, (SELECT count(*) FROM topprofile t WHERE t.user_id = u.user_id) AS profile_tokens,
+    coalesce(len(v.v), 0) AS embedding_dims, least(u.n_events, {config.RECENT_ITEMS}) AS n_recent, l.n AS n_session, l.name AS newest_name
+    FROM ustats u LEFT JOIN vec v ON v.id = u.user_id
+    LEFT JOIN (SELECT user_id, any_value(source) AS strategy, count(*) AS n FROM ctlists GROUP BY ALL) c ON c.user_id = u.user_id
+    LEFT JOIN (SELECT user_id, count(*) AS n, arg_min({NAME}, pos) AS name FROM live JOIN items USING (item_id) GROUP BY ALL) l ON l.user_id = u.user_id""")
+def user_details(spark, d):
+    ws = workspace(spark, d)
+    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
+    return views.user_details(ws.table("user_docs"), ws.table("control_lists"), ws.table("sessions"), ws.table("item_docs")).select(
+        "user_id", "known", "strategy", F.col("precomputed_count").cast("bigint").alias("precomputed_count"),
+        "profile.n_events", "profile.segment", "profile.avg_price", size("profile_tokens").alias("profile_tokens"),
+        F.col("embedding_dims").cast("bigint").alias("embedding_dims"), size("recent").alias("n_recent"),
+        size("session").alias("n_session"), F.col("session")[0]["item"]["name"].alias("newest_name"))
+
+
+# --- sources, sinks, exports -------------------------------------------------------------------------
+
+_CONTRACT_SQL = """SELECT strftime(timestamp, '%Y-%m-%d %H:%M') AS at, event_type, item_id, category_id, category_code, brand,
+    round(price, 8) AS price, user_id, session_id FROM ev"""
+
+
+def _contract_view(df):
+    return df.select(E.minute_text(F.try_to_timestamp(F.col("timestamp").cast("string"))).alias("at"), "event_type", "item_id", "category_id",
+                     "category_code", "brand", F.round("price", 8).alias("price"), "user_id", "session_id")
+
+
+@query("csv_source", _CONTRACT_SQL)
+def csv_source(spark, d):
+    ws = workspace(spark, d)
+    path = ws.path("events_csv")
+    ws.table("events").write.mode("overwrite").option("header", True).csv(path)
+    return _contract_view(contract.read_csv(spark, path))
+
+
+@query("wire_messages", _CONTRACT_SQL)
+def wire_messages(spark, d):
+    return _contract_view(contract.from_messages(contract.to_messages(behaviour_events(spark, d))))
+
+
+def _raw_shop_rows(spark, d):
+    """The driver's event table under the field names of the public shop data set."""
+    return table(spark, d, "events").select(
+        F.col("ts").cast("string").alias("event_time"), "event_type", F.get_json_object("props", "$.k").alias("product_id"),
+        F.lit(None).cast("bigint").alias("category_id"), F.lit(None).cast("string").alias("category_code"),
+        F.lit(None).cast("string").alias("brand"), F.col("value").alias("price"), "user_id",
+        F.md5(F.col("user_id").cast("string")).alias("user_session"))
+
+
+_RAW_SHOP_SQL = """(SELECT ts, event_type, CAST(json_extract_string(props, '$.k') AS INT) AS item_id, value AS price, CAST(user_id AS INT) AS user_id,
+    CASE WHEN ts IS NULL THEN 'missing timestamp' WHEN event_type IS NULL THEN 'missing event_type'
+      WHEN json_extract_string(props, '$.k') IS NULL THEN 'missing item_id' WHEN value IS NULL THEN 'missing price'
+      WHEN user_id IS NULL THEN 'missing user_id'
+      WHEN event_type NOT IN ('view', 'cart', 'purchase', 'remove_from_cart') THEN 'unknown event_type'
+      WHEN NOT value > 0 THEN 'price not positive' END AS reason FROM events)"""
+
+
+@query("clean_events", f"""SELECT strftime(ts, '%Y-%m-%d %H:%M') AS at, event_type, item_id, round(price, 6) AS price, user_id
+    FROM {_RAW_SHOP_SQL} WHERE reason IS NULL""")
+def clean_events(spark, d):
+    valid, _ = contract.clean(_raw_shop_rows(spark, d))
+    return valid.select(E.minute_text("timestamp").alias("at"), "event_type", "item_id", r6("price"), "user_id")
+
+
+@query("rejected_events", f"SELECT reason, event_type, count(*) AS events FROM {_RAW_SHOP_SQL} WHERE reason IS NOT NULL GROUP BY ALL")
+def rejected_events(spark, d):
+    _, rejected = contract.clean(_raw_shop_rows(spark, d))
+    return rejected.groupBy("reason", "event_type").agg(F.count("*").alias("events"))
+
+
+_PATH_SQL = "'year=' || strftime(timestamp, '%Y') || '/month=' || strftime(timestamp, '%m') || '/day=' || strftime(timestamp, '%d')"
+
+
+@query("partition_paths", f"SELECT {_PATH_SQL} AS path, count(*) AS events FROM ev GROUP BY ALL")
+def partition_paths(spark, d):
+    return behaviour_events(spark, d).groupBy(lake.partition_path().alias("path")).agg(F.count("*").alias("events"))
+
+
+_LAKE_SQL = """SELECT CAST(year(timestamp) AS INT) AS year, CAST(month(timestamp) AS INT) AS month, CAST(day(timestamp) AS INT) AS day,
+    event_type, count(*) AS events, round(sum(price), 2) AS price FROM ev GROUP BY ALL"""
+
+
+def _lake_view(df):
+    return df.groupBy("year", "month", "day", "event_type").agg(F.count("*").alias("events"), F.round(F.sum("price"), 2).alias("price"))
+
+
+@query("lake_scan", _LAKE_SQL)
+def lake_scan(spark, d):
+    ws = workspace(spark, d)
+    lake.write(behaviour_events(spark, d), ws.path("lake"), "overwrite")
+    return _lake_view(lake.read(spark, ws.path("lake")))
+
+
+def _wire_folder(ws):
+    path = ws.path("wire")
+    if "wire" not in ws._tables:
+        contract.to_messages(ws.table("events")).select("value").write.mode("overwrite").text(path)
+        ws._tables["wire"] = path
+    return path
+
+
+def _fresh(ws, name):
+    """A new folder per call: a stream's checkpoint belongs to one run."""
+    ws.runs = getattr(ws, "runs", 0) + 1
+    return ws.path(f"{name}/{ws.runs}")
+
+
+@query("stream_to_lake", _LAKE_SQL)
+def stream_to_lake(spark, d):
+    ws = workspace(spark, d)
+    run = _fresh(ws, "stream_lake")
+    ingest.to_lake(ingest.file_messages(spark, _wire_folder(ws), 4), f"{run}/lake", f"{run}/checkpoint", available_now=True) \
+        .awaitTermination()
+    return _lake_view(lake.read(spark, f"{run}/lake"))
+
+
+_LIVE_SQL = "SELECT user_id, CAST(pos AS INT) AS position, item_id, event_type, strftime(timestamp, '%Y-%m-%d %H:%M') AS at FROM live"
+
+
+@query("live_sessions", _LIVE_SQL)
+def live_sessions(spark, d):
+    return SS.last_sessions(behaviour_events(spark, d)).select(
+        "user_id", "position", "item_id", "event_type", E.minute_text("timestamp").alias("at"))
+
+
+def _session_changes(ws, sink, run):
+    events = ingest.typed(ingest.decoded(ingest.file_messages(ws.spark, _wire_folder(ws))))
+    SS.start(SS.session_stream(events), sink, f"{run}/checkpoint", availableNow=True).awaitTermination()
+
+
+@query("session_stream", _LIVE_SQL)
+def session_stream(spark, d):
+    """Each user's session as of the user's newest event, before it expired."""
+    ws = workspace(spark, d)
+    run = _fresh(ws, "session_stream")
+    _session_changes(ws, SS.write_changes(f"{run}/changes"), run)
+    changes = spark.read.schema(SS.OUTPUT).parquet(f"{run}/changes").where(F.col("position") >= 0)
+    return SS.latest_version(changes).select("user_id", "position", "item_id", "event_type", E.minute_text("timestamp").alias("at"))
+
+
+@query("session_feature_stream", "SELECT user_id, token, round(w, 6) AS weight FROM sprof")
+def session_feature_stream(spark, d):
+    ws = workspace(spark, d)
+    run = _fresh(ws, "session_features")
+    items = ws.table("item_docs")
+    _session_changes(ws, SF.feature_batch(items, _index(ws).select("item_id"), run), run)
+    with_session = spark.read.parquet(f"{run}/features").where(F.col("session").isNotNull())
+    newest = with_session.groupBy("user_id").agg(F.max("version").alias("version"))
+    return with_session.join(newest, ["user_id", "version"], "left_semi") \
+        .select("user_id", F.explode("session_profile").alias("token", "w")).select("user_id", "token", r6("w", "weight"))
+
+
+@query("recommendation_documents", """SELECT 'recommendations:' || CAST(user_id AS VARCHAR) AS key, CAST(rank AS INT) AS position, item_id, source
+    FROM ctlists""")
+def recommendation_documents(spark, d):
+    docs = keyed.recommendation_documents(workspace(spark, d).table("control_lists"))
+    decoded = F.from_json("value", "array<struct<item_id:int,score:double,source:string>>")
+    return docs.select("key", F.posexplode(decoded).alias("p", "r")) \
+        .select("key", (F.col("p") + 1).alias("position"), "r.item_id", "r.source")
+
+
+@query("content_list_scores", """SELECT 'recommendations:' || CAST(user_id AS VARCHAR) AS key, item_id,
+    round(CAST(CAST(score AS FLOAT) AS DOUBLE), 6) AS score FROM content""")
+def content_list_scores(spark, d):
+    lists = workspace(spark, d).table("content_lists").withColumn("source", F.lit("content"))
+    decoded = F.from_json("value", "array<struct<item_id:int,score:double,source:string>>")
+    return keyed.recommendation_documents(lists).select("key", F.explode(decoded).alias("r")) \
+        .select("key", "r.item_id", "r.score")
+
+
+@query("item_documents", """SELECT 'item:' || CAST(item_id AS VARCHAR) AS key, item_id, category_code, category_id, price, views, unique_users,
+    popularity_score, (SELECT count(*) FROM tokw t WHERE t.item_id = items.item_id) AS tokens FROM items""")
+def item_documents(spark, d):
+    ws = workspace(spark, d)
+    docs = ws.stage(keyed.documents(ws.table("item_docs"), "item", "item_id"), "item_documents")
+    return keyed.get(docs, docs.select("key"), ws.table("item_docs").schema).select(
+        "key", "item_id", "category_code", "category_id", "price", "views", "unique_users", "popularity_score",
+        F.size("tokens").cast("bigint").alias("tokens"))
+
+
+@query("user_documents", """SELECT 'user:' || CAST(user_id AS VARCHAR) AS key, n_events, avg_price, segment, last_seen,
+    (SELECT count(*) FROM seen WHERE seen.user_id = u.user_id) AS seen, (SELECT count(*) FROM cats c WHERE c.user_id = u.user_id) AS categories,
+    (SELECT count(*) FROM topprofile t WHERE t.user_id = u.user_id) AS profile FROM ustats u""")
+def user_documents(spark, d):
+    ws = workspace(spark, d)
+    docs = ws.stage(keyed.documents(ws.table("user_docs"), "user", "user_id"), "user_documents")
+    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint").alias(c)
+    return keyed.get(docs, docs.select("key"), ws.table("user_docs").schema).select(
+        "key", "n_events", "avg_price", "segment", "last_seen", size("seen"), size("categories"), size("profile"))
+
+
+_EXPERIMENT_SQL = """(SELECT CAST(user_id AS VARCHAR) AS user_id, json_extract_string(props, '$.k') AS item_id,
+    CASE WHEN CAST('0x' || substr(sha256(CAST(user_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 50 THEN 'control' ELSE 'treatment' END AS variant,
+    CASE event_type WHEN 'view' THEN 'impression' WHEN 'purchase' THEN 'conversion' ELSE event_type END AS event_type FROM events)"""
+
+
+@query("experiment_events", f"""SELECT user_id, item_id, variant, event_type, count(*) AS events FROM {_EXPERIMENT_SQL}
+    WHERE event_type IN ('impression', 'click', 'conversion') AND item_id IS NOT NULL GROUP BY ALL""")
+def experiment_events(spark, d):
+    ws = workspace(spark, d)
+    raw = table(spark, d, "events")
+    named = F.create_map(F.lit("view"), F.lit("impression"), F.lit("purchase"), F.lit("conversion"))
+    rows = raw.select(F.col("user_id").cast("string").alias("user_id"), F.get_json_object("props", "$.k").alias("item_id"),
+                      variant(F.col("user_id")).alias("variant"), F.coalesce(named[F.col("event_type")], "event_type").alias("event_type"))
+    path = _fresh(ws, "experiment_events")
+    experiments.append_events(rows, path)
+    return spark.read.parquet(path).groupBy("user_id", "item_id", "variant", "event_type").agg(F.count("*").alias("events"))
+
+
+@query("evaluation_report", " UNION ALL ".join(_metric_sql(*run, k) for run in _RUNS for k in config.EVAL_KS))
+def evaluation_report(spark, d):
+    ws = workspace(spark, d)
+    measured = evaluation.evaluate(ws.table("item_tfidf"), I.split_pairs(ws.table("interaction_matrix")))
+    lake.overwrite(evaluation.stamped(measured), ws.path("evaluation_metrics"))
+    return _rounded_metrics(evaluation.latest_report(spark, ws.path("evaluation_metrics")))
+
+
+@query("run_settings")
+def run_settings(spark, d):
+    ws = workspace(spark, d)
+    return metrics.run_settings(metrics.run_summary(ws.table("events"), ws.table("interaction_matrix")))
+
+
+# --- factor model (results depend on floating point: rows only) -----------------------------------------
+
+@query("als_top_n")
+def als_top_n(spark, d):
+    return factorization.exploded(workspace(spark, d).table("als_lists"))
+
+
+@query("als_prediction_summary")
+def als_prediction_summary(spark, d):
+    ws = workspace(spark, d)
+    return factorization.prediction_summary(factorization.predictions(ws.model("als"), jobs.train_test(ws)[1]))
+
+
+@query("als_unseen_recommendations")
+def als_unseen_recommendations(spark, d):
+    ws = workspace(spark, d)
+    train, test = jobs.train_test(ws)
+    users, _ = evaluation.evaluable(train, test)
+    return factorization.unseen_recommendations(ws.model("als"), users, train, max(config.EVAL_KS))
+
+
+@query("als_evaluation")
+def als_evaluation(spark, d):
+    ws = workspace(spark, d)
+    return evaluation.evaluate(ws.table("item_tfidf"), jobs.train_test(ws), ws.model("als"))
+
+
+@query("als_neighbours")
+def als_neighbours(spark, d):
+    ws = workspace(spark, d)
+    return neighbours.similar_items(factorization.item_factors(ws.model("als")), ws.table("item_features"), ws.table("interaction_matrix"))
+
+
+@query("als_routed_lists")
+def als_routed_lists(spark, d):
+    return workspace(spark, d).table("routed_lists").select("user_id", "source", F.size("recommendations").alias("items"))
+
+
+@query("als_sanity_report")
+def als_sanity_report(spark, d):
+    ws = workspace(spark, d)
+    events = ws.table("events")
+    users = sanity.sample_users(sanity.active_users(events))
+    lists = factorization.exploded(ws.model("als").recommendForUserSubset(users, 10))
+    return sanity.factor_report(events, lists, users)

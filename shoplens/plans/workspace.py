@@ -4,6 +4,7 @@ import hashlib
 
 from shoplens.plans.jobs import JOBS, MODELS
 from shoplens.session import shared_dir
+from shoplens.sources.lake import overwrite
 
 _OPEN = {}
 
@@ -26,8 +27,7 @@ class Workspace:
 
     def stage(self, df, name):
         """Writes a frame and reads it back."""
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
+        return overwrite(df, self.path(name))
 
     def table(self, name):
         if name not in self._tables:

@@ -42,3 +42,8 @@ def shared_dir(spark):
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(f"{fallback}/checkpoint")
     return fallback
+
+
+def parallelism(spark):
+    """Partitions for a stage whose rows multiply, so its input size says little about its work."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
