@@ -6,13 +6,13 @@ from shoplens import config
 from shoplens.operators.catalog import search_index
 from shoplens.operators.ranking import head_list
 from shoplens.operators.rerank.candidates import with_candidates
-from shoplens.operators.rerank.context import request_rows
-from shoplens.operators.rerank.factors import with_factors, with_scores
+from shoplens.operators.rerank.context import request_rows, session_docs, session_rows
+from shoplens.operators.rerank.factors import explained, with_factors, with_scores
 from shoplens.operators.rerank.variety import diversify
 
 
 def prepared_requests(requests, items, users, lists, sessions, complements, index):
-    """Requests with viewer, context and candidates in one row each."""
+    """Requests with viewer, context and candidates in one row each; ``sessions`` are session documents."""
     popular = head_list(index, ["place"], config.POPULAR_CANDIDATES, "item_id")
     return with_candidates(request_rows(requests, items, users, lists, sessions, complements, index), popular)
 
@@ -29,5 +29,7 @@ def rerank(requests, items, users, lists, sessions, complements, stage=lambda df
     """
     index = stage(search_index(items.withColumn("root", F.coalesce(F.split_part(
         F.col("category_code"), F.lit("."), F.lit(1)), F.lit("other")))), "index")
-    rows = stage(prepared_requests(requests, items, users, lists, sessions, complements, index), "requests")
-    return diversify(with_scores(with_factors(rows, items, index.select("item_id"))))
+    hot_items = index.select("item_id")
+    live = session_docs(stage(session_rows(sessions, items, hot_items), "session_rows"))
+    rows = stage(prepared_requests(requests, items, users, lists, live, complements, index), "requests")
+    return explained(diversify(with_scores(with_factors(rows, items, hot_items))))

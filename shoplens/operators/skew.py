@@ -11,14 +11,15 @@ def heavy_keys(counts, key, count, share=config.HEAVY_SHARE):
     return counts.where(F.col(count) > total * F.lit(share)).select(key)
 
 
-def salted_join(big, small, key, heavy, how="inner", salts=config.SALTS):
+def salted_join(big, small, key, heavy, how="inner", salts=config.SALTS, by=None):
     """``big`` joined to ``small`` on ``key`` with the rows of heavy keys dealt out over ``salts`` tasks.
 
-    Only the few heavy keys' rows of ``small`` are repeated. The salt is a hash of the row, so
-    a task that is run again deals the same way; rows without a key are dealt out as well.
+    Only the few heavy keys' rows of ``small`` are repeated. The salt is a hash of the row (of
+    its columns ``by``), so a task that is run again deals the same way; rows without a key are
+    dealt out as well.
     """
     marks = F.broadcast(heavy.select(key, F.lit(True).alias("_heavy")))
-    spread = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
+    spread = F.pmod(F.xxhash64(*(by or big.columns)), F.lit(salts)).cast("int")
     left = big.join(marks, key, "left") \
         .withColumn("_salt", F.when(F.col("_heavy").isNotNull() | F.col(key).isNull(), spread).otherwise(0)).drop("_heavy")
     copies = F.when(F.col("_heavy").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from shoplens import config
 from shoplens.operators import (catalog, complements, content, evaluation, factorization, interactions as I,
-                                items as IT, profiles, routing)
+                                items as IT, profiles, rerank, routing)
 from shoplens.operators.ranking import ranked_list
+from shoplens.operators.rerank.context import session_docs, session_rows
 from shoplens.sources.tables import behaviour_events, table
 from shoplens.streaming.sessions import last_sessions
 
@@ -124,6 +125,21 @@ def sessions(ws):
     return last_sessions(ws.table("events"))
 
 
+@job
+def index(ws):
+    return catalog.search_index(ws.table("item_docs"))
+
+
+@job
+def session_items(ws):
+    return session_rows(ws.table("sessions"), ws.table("item_docs"), ws.table("index").select("item_id"))
+
+
+@job
+def session_features(ws):
+    return session_docs(ws.table("session_items"))
+
+
 @job
 def requests(ws):
     """Every user asks for the home page, and for the page of the item of the newest event."""
@@ -134,6 +150,7 @@ def requests(ws):
     return row("home", F.lit(None)).unionByName(row("product", F.col("item_id")))
 
 
-def rerank_inputs(ws):
-    return [ws.table(name) for name in
-            ("requests", "item_docs", "user_docs", "control_lists", "sessions", "category_complements")]
+@job
+def prepared_requests(ws):
+    return rerank.prepared_requests(*[ws.table(name) for name in (
+        "requests", "item_docs", "user_docs", "control_lists", "session_features", "category_complements", "index")])

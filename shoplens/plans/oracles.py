@@ -223,7 +223,7 @@ CTES["refprice"] = """SELECT r.request_id, coalesce(nullif(i.price, 0), nullif(u
       (SELECT avg(nullif(x.price, 0)) FROM live s JOIN items x ON x.item_id = s.item_id WHERE s.user_id = r.user_id)) AS ref
     FROM req r LEFT JOIN items i ON i.item_id = r.ctx LEFT JOIN ustats u ON u.user_id = r.user_id"""
 CTES["fac"] = """SELECT c.request_id, c.item_id, c.source, i.category AS item_category, c.ctx IS NOT NULL AS product,
-      CASE WHEN uv.v IS NOT NULL AND iv.v IS NOT NULL THEN greatest(list_dot_product(uv.v, iv.v), 0.0) END AS als_raw,
+      CASE WHEN uv.v IS NOT NULL AND iv.v IS NOT NULL THEN round(greatest(list_dot_product(uv.v, iv.v), 0.0), 10) END AS als_raw,
       coalesce(x.v, 0.0) AS context, coalesce(m.value, 0.0) AS complement, coalesce(cp.score, 0.0) AS copurchase,
       coalesce(ct.v, 0.0) AS content, coalesce(ss.v, 0.0) AS session,
       least(1.0, coalesce(vc.share, 0.0) + 0.5 * (coalesce(vr.share, 0.0) - coalesce(vc.share, 0.0))) AS category,

@@ -9,7 +9,7 @@ from shoplens.functions.experiments import variant
 from shoplens.operators import (catalog, complements, content, cooccurrence, evaluation, experiments,
                                 interactions as I, items as IT, metrics, profiles, sanity)
 from shoplens.plans.oracles import settled, sql
-from shoplens.operators import factorization, neighbours, rerank as RR, routing
+from shoplens.operators import factorization, neighbours, routing
 from shoplens.operators.rerank import candidates as RC, context as RX, factors as RF, variety as RV, views
 from shoplens.plans import jobs
 from shoplens.plans.workspace import workspace
@@ -538,21 +538,10 @@ def personas(spark, d):
 
 # --- re-ranker ------------------------------------------------------------------------------------------
 
-def _index(ws):
-    return catalog.search_index(ws.table("item_docs"))
-
-
-def _staged_requests(ws):
-    if "prepared" not in ws._tables:
-        ws._tables["index"] = ws.stage(_index(ws), "index")
-        ws._tables["prepared"] = ws.stage(RR.prepared_requests(*jobs.rerank_inputs(ws), ws._tables["index"]), "prepared")
-    return ws._tables["prepared"], ws._tables["index"]
-
-
 @query("popular_in_category", f"""SELECT category_code AS category, item_id, CAST(rank AS INT) AS rank FROM incode WHERE rank <= {config.CATEGORY_CANDIDATES}
     UNION ALL SELECT CAST(category_id AS VARCHAR), item_id, CAST(rank AS INT) FROM inid WHERE rank <= {config.CATEGORY_CANDIDATES}""")
 def popular_in_category(spark, d):
-    index = _index(workspace(spark, d))
+    index = workspace(spark, d).table("index")
     part = lambda key: RC.popular_in_category(index, key).select(F.col(key).cast("string").alias("category"), "item_id", "rank")
     return part("category_code").unionByName(part("category_id"))
 
@@ -561,89 +550,84 @@ def popular_in_category(spark, d):
 def complement_categories(spark, d):
     ws = workspace(spark, d)
     codes = ws.table("item_docs").where(F.col("category_code").isNotNull()).select("category_code")
-    rows = RC.complement_categories(codes, ws.table("category_complements"), _index(ws))
+    rows = RC.complement_categories(codes, ws.table("category_complements"), ws.table("index"))
     return rows.select("category_code", F.posexplode("complements").alias("p", "c")) \
         .select("category_code", (F.col("p") + 1).alias("position"), "c.*")
 
 
-def _session_rows(ws):
-    return RX.session_rows(ws.table("sessions"), ws.table("item_docs"), _index(ws).select("item_id"))
-
-
 @query("session_profile", "SELECT user_id, token, round(w, 6) AS weight FROM sprof")
 def session_profile(spark, d):
-    return RX.session_profiles(_session_rows(workspace(spark, d))).select("user_id", "token", r6("weight"))
+    return RX.session_profiles(workspace(spark, d).table("session_items")).select("user_id", "token", r6("weight"))
 
 
 @query("session_shares", """SELECT user_id, 'category' AS kind, key, round(share, 6) AS share FROM scats
     UNION ALL SELECT user_id, 'brand', key, round(share, 6) FROM sbrands""")
 def session_shares(spark, d):
-    rows = _session_rows(workspace(spark, d))
+    rows = workspace(spark, d).table("session_items")
     part = lambda kind: RX.session_shares(rows, kind).select("user_id", F.lit(kind).alias("kind"), "key", r6("share"))
     return part("category").unionByName(part("brand"))
 
 
 @query("root_shares", """SELECT request_id, root, round(share, 6) AS share FROM req JOIN vroots USING (user_id)""")
 def root_shares(spark, d):
-    rows, _ = _staged_requests(workspace(spark, d))
-    return rows.select("request_id", F.explode("root_shares").alias("root", "share")).select("request_id", "root", r6("share"))
+    return workspace(spark, d).table("prepared_requests").select("request_id", F.explode("root_shares").alias("root", "share")).select("request_id", "root", r6("share"))
 
 
 @query("reference_price", "SELECT request_id, round(ref, 6) AS reference_price FROM refprice")
 def reference_price(spark, d):
-    rows, _ = _staged_requests(workspace(spark, d))
-    return rows.select("request_id", r6("reference_price"))
+    return workspace(spark, d).table("prepared_requests").select("request_id", r6("reference_price"))
 
 
 @query("copurchase_scores", "SELECT request_id, item_id, score FROM copur")
 def copurchase_scores(spark, d):
-    rows, _ = _staged_requests(workspace(spark, d))
-    return rows.select("request_id", F.explode("copurchase").alias("item_id", "score"))
+    return workspace(spark, d).table("prepared_requests").select("request_id", F.explode("copurchase").alias("item_id", "score"))
 
 
 @query("rerank_candidates", "SELECT request_id, item_id, source FROM cand")
 def rerank_candidates(spark, d):
     ws = workspace(spark, d)
-    rows, index = _staged_requests(ws)
-    return RF.candidate_items(rows, ws.table("item_docs"), index.select("item_id")).select("request_id", "item_id", "source")
+    return RF.candidate_items(ws.table("prepared_requests"), ws.table("item_docs"), ws.table("index").select("item_id")).select("request_id", "item_id", "source")
 
 
 _FACTOR_COLUMNS = ("context", "complement", "copurchase", "content", "session", "category", "price", "brand", "popularity")
 
 
 def _with_factors(ws):
-    rows, index = _staged_requests(ws)
-    return RF.with_factors(rows, ws.table("item_docs"), index.select("item_id"))
+    return RF.with_factors(ws.table("prepared_requests"), ws.table("item_docs"), ws.table("index").select("item_id"))
 
 
-@query("rerank_factors", "SELECT request_id, item_id, round(als_raw, 6) AS als_raw, round(least(coalesce(als_raw, 0.0), 1.0), 6) AS als, "
+@query("rerank_factors", f"SELECT request_id, item_id, {settled('als_raw', 6)} AS als_raw, {settled('least(coalesce(als_raw, 0.0), 1.0)', 6)} AS als, "
        + ", ".join(f"round({c}, 6) AS {c}" for c in _FACTOR_COLUMNS) + " FROM fac")
 def rerank_factors(spark, d):
     return _with_factors(workspace(spark, d)).select("request_id", "item_id", r6("als_raw"), r6("als"), *[r6(c) for c in _FACTOR_COLUMNS])
 
 
-def _contribution_sql(name, product, home):
-    value = "least(coalesce(als_raw, 0.0), 1.0)" if name == "als" else name
-    weight = f"CASE WHEN product THEN {product} ELSE {home} END"
-    return f"CASE WHEN final <> 0 THEN round({weight} * {value} / final, 3) ELSE 0.0 END AS {name}"
+def _explained_sql(profile, product):
+    value = lambda name: "least(coalesce(als_raw, 0.0), 1.0)" if name == "als" else name
+    return " UNION ALL ".join(
+        f"SELECT request_id, item_id, '{name}' AS key, '{label}' AS label, CAST({weight} AS DOUBLE) AS weight, round({value(name)}, 4) AS value, "
+        f"CASE WHEN final <> 0 THEN round(CAST({weight} AS DOUBLE) * {value(name)} / final, 4) ELSE 0.0 END AS contribution "
+        f"FROM placed WHERE {product}product" for name, (label, weight) in profile.items())
 
 
-@query("rerank_scores", "SELECT request_id, item_id, score, " + ", ".join(
-    _contribution_sql(name, *[config.RANKING_PROFILES[p].get(name, ("", 0.0))[1] for p in ("product", "home")]) for name in RF.FACTORS)
-    + " FROM scored")
+@query("rerank_scores", "SELECT request_id, item_id, score FROM scored")
 def rerank_scores(spark, d):
-    scored = RF.with_scores(_with_factors(workspace(spark, d)))
-    weight = lambda name: F.when(F.col("profile_name") == "product", config.RANKING_PROFILES["product"].get(name, ("", 0.0))[1]) \
-        .otherwise(config.RANKING_PROFILES["home"].get(name, ("", 0.0))[1])
-    part = lambda name: F.coalesce(F.when(F.col("final") != 0, F.round(weight(name) * F.col(name) / F.col("final"), 3)), F.lit(0.0)).alias(name)
-    return scored.select("request_id", "item_id", "score", *[part(name) for name in RF.FACTORS])
+    return RF.with_scores(_with_factors(workspace(spark, d))).select("request_id", "item_id", "score")
+
+
+@query("rerank_explanations", _explained_sql(config.RANKING_PROFILES["product"], "") + " UNION ALL "
+       + _explained_sql(config.RANKING_PROFILES["home"], "NOT "))
+def rerank_explanations(spark, d):
+    shown = RF.explained(RV.diversify(RF.with_scores(_with_factors(workspace(spark, d)))))
+    return shown.select("request_id", "item_id", F.explode("factors").alias("f")).select(
+        "request_id", "item_id", "f.key", "f.label", "f.weight", "f.value", "f.contribution")
 
 
 @query("reranked", f"""SELECT request_id, CAST(position AS INT) AS position, item_id, source, score,
     CAST(j AS INT) AS same_category_before, round(pow(dec, j), 4) AS multiplier, CAST(round(CAST(adj AS DECIMAL(24, 12)), 4) AS DOUBLE) AS rank_score,
-    round(als_raw, 4) AS als_prediction FROM placed""")
+    {settled('als_raw', 4)} AS als_prediction FROM placed""")
 def reranked(spark, d):
-    return RV.diversify(RF.with_scores(_with_factors(workspace(spark, d)))).select(
+    return RF.explained(RV.diversify(RF.with_scores(_with_factors(workspace(spark, d))))).select(
         "request_id", "position", "item_id", "source", "score", "same_category_before", "multiplier", "rank_score", "als_prediction")
 
 
@@ -677,7 +661,7 @@ def item_details(spark, d):
     ws = workspace(spark, d)
     items = ws.table("item_docs")
     related = RC.complement_categories(items.where(F.col("category_code").isNotNull()).select("category_code"),
-                                       ws.table("category_complements"), _index(ws))
+                                       ws.table("category_complements"), ws.table("index"))
     size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
     best = lambda c: F.coalesce(F.col(c)[0]["item_id"], F.lit(-1))
     return views.item_details(items, related).select(
@@ -832,7 +816,7 @@ def session_feature_stream(spark, d):
     ws = workspace(spark, d)
     run = _fresh(ws, "session_features")
     items = ws.table("item_docs")
-    _session_changes(ws, SF.feature_batch(items, _index(ws).select("item_id"), run), run)
+    _session_changes(ws, SF.feature_batch(items, ws.table("index").select("item_id"), run), run)
     with_session = spark.read.parquet(f"{run}/features").where(F.col("session").isNotNull())
     newest = with_session.groupBy("user_id").agg(F.max("version").alias("version"))
     return with_session.join(newest, ["user_id", "version"], "left_semi") \
