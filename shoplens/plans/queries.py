@@ -352,7 +352,7 @@ def ranking_metrics(spark, d):
     recs = evaluation.popularity_baseline(I.decayed_popularity(train), users, train)
     n_catalog = train.select("item_id").distinct().agg(F.count("*")).scalar()
     return _rounded_metrics(evaluation.ranking_metrics(recs, truth, n_catalog)
-                            .select(F.lit("all").alias("segment"), F.lit("popularity").alias("model"), "*"))
+                            .withColumn("model", F.lit("popularity")))
 
 
 def _rounded_metrics(df):
@@ -362,7 +362,7 @@ def _rounded_metrics(df):
 @query("offline_evaluation", " UNION ALL ".join(_metric_sql(*run, k) for run in _RUNS for k in config.EVAL_KS))
 def offline_evaluation(spark, d):
     ws = workspace(spark, d)
-    return _rounded_metrics(evaluation.evaluate(ws.table("item_tfidf"), I.split_pairs(ws.table("interaction_matrix"))))
+    return _rounded_metrics(evaluation.evaluate(ws.table("item_tfidf"), jobs.train_test(ws), stage=ws.stage))
 
 
 # --- run figures and exploration ----------------------------------------------------------------
@@ -883,7 +883,7 @@ def experiment_events(spark, d):
 @query("evaluation_report", " UNION ALL ".join(_metric_sql(*run, k) for run in _RUNS for k in config.EVAL_KS))
 def evaluation_report(spark, d):
     ws = workspace(spark, d)
-    measured = evaluation.evaluate(ws.table("item_tfidf"), I.split_pairs(ws.table("interaction_matrix")))
+    measured = evaluation.evaluate(ws.table("item_tfidf"), jobs.train_test(ws), stage=ws.stage)
     lake.overwrite(evaluation.stamped(measured), ws.path("evaluation_metrics"))
     return _rounded_metrics(evaluation.latest_report(spark, ws.path("evaluation_metrics")))
 
@@ -918,7 +918,7 @@ def als_unseen_recommendations(spark, d):
 @query("als_evaluation")
 def als_evaluation(spark, d):
     ws = workspace(spark, d)
-    return evaluation.evaluate(ws.table("item_tfidf"), jobs.train_test(ws), ws.model("als"))
+    return evaluation.evaluate(ws.table("item_tfidf"), jobs.train_test(ws), ws.model("als"), stage=ws.stage)
 
 
 @query("als_neighbours")
