@@ -306,10 +306,10 @@ def top_of_index(spark, d):
 @query("catalog_listing", f"""SELECT * FROM (SELECT {PUBLIC}, false AS has_embedding, place, count(*) OVER () AS total,
       CAST(row_number() OVER (ORDER BY place) AS INT) AS position FROM idx WHERE root = 'standard'
       AND contains(lower({NAME} || ' ' || coalesce(category_code, '') || ' ' || CAST(item_id AS VARCHAR)), 'brand#1'))
-    WHERE position BETWEEN 13 AND 36""")
+    WHERE position BETWEEN 3 AND 26""")
 def catalog_listing(spark, d):
     index = catalog.search_index(catalog.described_items(_weighted(spark, d)))
-    return catalog.listing(index, "standard", "Brand#1", 12, 24) \
+    return catalog.listing(index, "standard", "Brand#1", 2, 24) \
         .withColumn("category_path", F.array_join("category_path", " > "))
 
 
@@ -604,9 +604,11 @@ def rerank_factors(spark, d):
 
 def _explained_sql(profile, product):
     value = lambda name: "least(coalesce(als_raw, 0.0), 1.0)" if name == "als" else name
+    part = lambda name, weight: f"CAST({weight} AS DOUBLE) * {value(name)} / final"
     return " UNION ALL ".join(
-        f"SELECT request_id, item_id, '{name}' AS key, '{label}' AS label, CAST({weight} AS DOUBLE) AS weight, round({value(name)}, 4) AS value, "
-        f"CASE WHEN final <> 0 THEN round(CAST({weight} AS DOUBLE) * {value(name)} / final, 4) ELSE 0.0 END AS contribution "
+        f"SELECT request_id, item_id, '{name}' AS key, '{label}' AS label, CAST({weight} AS DOUBLE) AS weight, "
+        f"{settled(f'round({value(name)}, 10)', 4)} AS value, "
+        f"CASE WHEN final <> 0 THEN {settled(f'round({part(name, weight)}, 10)', 4)} ELSE 0.0 END AS contribution "
         f"FROM placed WHERE {product}product" for name, (label, weight) in profile.items())
 
 
