@@ -28,11 +28,11 @@ def cut_pieces(docs, vocabulary, capacity=CAPACITY, end_id=END_ID, with_ids=Fals
     schema = PIECES + (", ids binary" if with_ids else "")
 
     def cut(batches):
-        encode = encoder()
+        encode, end = encoder(), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out = {name: [] for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")}
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                ids = np.append(encode.ids(text), np.uint32(end_id)).astype("<u4").tobytes()
+            for doc_id, own in zip(batch["doc_id"].to_pylist(), encode.each(batch["text"].to_pylist())):
+                ids = own.tobytes() + end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     part = ids[4 * start:4 * (start + capacity)]

@@ -1,54 +1,73 @@
-"""Whole texts to token ids, word by word with a memory of words already encoded."""
+"""Whole texts to token ids, with a memory of the words already encoded."""
 
 import re
 
 import numpy as np
 from tokenizers import Tokenizer
 
-# A space is a sure token boundary only between two characters that are no white space.
-UNSURE_SPACE = re.compile(r" (?:(?=\s)|(?=\Z)|(?<=\A )|(?<=\s ))")
+# The vocabularies' own splitting patterns, spelt out for the characters of Latin-1
+LETTERS, NUMBERS, SPACES = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", "\\t-\\r \\x85\\xa0"
+KEEPS_SPACES = re.compile(f" ?[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+"
+                          f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
+DROPS_SPACES = re.compile(f"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+")
+STRETCH = 1_000_000
 
 
 class WordEncoder:
     """Gives the ids that the tokenizer gives for the whole text, special strings taken as ordinary text.
 
-    Both kinds of public vocabulary split at a single space before they merge, so ids of a text are the ids of
-    its space-separated words in turn. `keeps_spaces`: the space belongs to the word after it (byte-level
-    vocabularies); otherwise white space is dropped by the vocabulary itself. Texts with a space next to other
-    white space go through the tokenizer whole when spaces are kept. The memory is emptied when it is full,
-    which changes no result.
+    Both kinds of public vocabulary cut a text into words before they merge inside words, so the ids of a text
+    are the ids of its words in turn: `keeps_spaces` for byte-level vocabularies (a space belongs to the word
+    after it), otherwise lower case without white space. Words are encoded once and looked up from then on; the
+    memory is emptied when it is full, which changes no result. Texts with characters beyond Latin-1 go through
+    the tokenizer whole.
     """
 
-    def __init__(self, path, keeps_spaces, memory=300_000):
+    def __init__(self, path, keeps_spaces, memory=700_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.keeps_spaces, self.memory, self.known = keeps_spaces, memory, {}
-        self.lead = " " if keeps_spaces else ""
+        self.words = (KEEPS_SPACES if keeps_spaces else DROPS_SPACES).findall
 
     def _encode(self, texts):
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(x.ids, dtype="<u4") for x in found]
-
-    def ids(self, text):
-        if not text:
-            return np.empty(0, "<u4")
-        if self.keeps_spaces and UNSURE_SPACE.search(text):
-            return self._encode([text])[0]
-        first, *words = text.split(" ")
-        if not self.keeps_spaces:
-            words.append(first)
-            first = None
-        new = list(set(words).difference(self.known))
-        if new:
-            if len(self.known) + len(new) > self.memory:
-                self.known.clear()
-                new = list(set(words))
-            self.known.update(zip(new, (x.tobytes() for x in self._encode([self.lead + w for w in new]))))
-        if first is None:
-            words.insert(0, words.pop())
-            return np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4")
-        head = self._encode([first])[0].tobytes()
-        return np.frombuffer(head + b"".join(map(self.known.__getitem__, words)), "<u4")
+        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+
+    def _words(self, text):
+        """The words of a text, None where it has to go through the tokenizer whole."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        return self.words(text if self.keeps_spaces else text.lower())
+
+    def _learn(self, lists):
+        known = self.known
+        words = set().union(*lists)
+        new = list(words.difference(known))
+        if len(known) + len(new) > self.memory:
+            known.clear()
+            new = list(words)
+        known.update(zip(new, self._encode(new)))
+
+    def each(self, texts):
+        """The ids of every text in turn, as little-endian 32-bit arrays. Words are held for STRETCH characters."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= STRETCH:
+                yield from self._stretch(held)
+                held, size = [], 0
+        yield from self._stretch(held)
+
+    def _stretch(self, texts):
+        lists = [self._words(t) for t in texts]
+        self._learn([x for x in lists if x])
+        lookup = self.known.__getitem__
+        for i, words in enumerate(lists):
+            raw = self._encode([texts[i]])[0] if words is None else b"".join(map(lookup, words))
+            yield np.frombuffer(raw, "<u4")
 
 
 def encoder_factory(path, keeps_spaces):
