@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and their SQL twins (where SQL can express them)."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from shoplens.llm import packing
+from shoplens.llm import bitplanes, dimension_scan, packing, pieces, secret_grammar, simhash, string_kernel
 from shoplens.llm.common import read_table
 
 QUERIES, ORACLES = {}, {}
@@ -22,3 +23,41 @@ def op1(spark, sf_dir):
     """Packs all documents into sequences of at most 2048 ids."""
     docs = read_table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op3_simhash")
+def op3(spark, sf_dir):
+    """Fingerprints of all documents, of their edited texts, and the searched neighbours of every 20th."""
+    return simhash.edit_report(read_table(spark, sf_dir, "documents"))
+
+
+@query("op5_sentence_pieces")
+def op5(spark, sf_dir):
+    """Encodes all documents with the 32,000-piece vocabulary and decodes them again."""
+    return pieces.encode_texts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                               with_ids=False)
+
+
+@query("op6_secret_grammar")
+def op6(spark, sf_dir):
+    """Secrets in all documents: fixed patterns and learnt formats."""
+    return secret_grammar.span_digest(secret_grammar.scan(read_table(spark, sf_dir, "documents")))
+
+
+@query("op7_dimension_scan")
+def op7(spark, sf_dir):
+    """The five nearest vectors of every 50th vector."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return dimension_scan.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+@query("op9_token_planes")
+def op9(spark, sf_dir):
+    """Writes all documents' ids as byte planes and reads the files back."""
+    return bitplanes.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op10_string_kernel")
+def op10(spark, sf_dir):
+    """Toxicity of all documents."""
+    return string_kernel.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
