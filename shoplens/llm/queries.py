@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shoplens.llm import bitplanes, dimension_scan, packing, pieces, secret_grammar, simhash, string_kernel
+from shoplens.llm import bitplanes, dimension_scan, fuzzy_lines, order_minhash, packing, pieces, secret_grammar, simhash, string_kernel, suffix_dedup
 from shoplens.llm.common import read_table
 
 QUERIES, ORACLES = {}, {}
@@ -25,12 +25,24 @@ def op1(spark, sf_dir):
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op2_suffix_dedup")
+def op2(spark, sf_dir):
+    """Removes from all documents what stands at two places, strings of 200 bytes and more."""
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query("op3_simhash")
 def op3(spark, sf_dir):
     """Fingerprints of all documents, of their edited texts, and the searched neighbours of every 20th."""
     return simhash.edit_report(read_table(spark, sf_dir, "documents"))
 
 
+@query("op4_order_minhash")
+def op4(spark, sf_dir):
+    """The class of near copies of each document."""
+    return order_minhash.classes(read_table(spark, sf_dir, "documents"))
+
+
 @query("op5_sentence_pieces")
 def op5(spark, sf_dir):
     """Encodes all documents with the 32,000-piece vocabulary and decodes them again."""
@@ -51,6 +63,12 @@ def op7(spark, sf_dir):
     return dimension_scan.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+@query("op8_fuzzy_lines")
+def op8(spark, sf_dir):
+    """The lines of each document that repeat an alike line of the corpus."""
+    return fuzzy_lines.line_report(read_table(spark, sf_dir, "documents"))
+
+
 @query("op9_token_planes")
 def op9(spark, sf_dir):
     """Writes all documents' ids as byte planes and reads the files back."""
