@@ -78,7 +78,7 @@ STRATEGY_LABELS = {
     "none": "New visitor: popularity + live-session candidates",
 }
 
-# Category tokens that read badly as product nouns
+# Last parts of category codes whose display name is not the capitalised part
 TOKEN_LABELS = {"clocks": "Watch", "tv": "TV", "acoustic": "Speaker",
                 "hdd": "HDD", "ssd": "SSD", "cpu": "CPU"}
 

@@ -1,6 +1,7 @@
 """Tables that later jobs read: each is built once per session, written, and read back."""
 
 import hashlib
+import uuid
 
 from shoplens.plans.jobs import JOBS, MODELS
 from shoplens.session import shared_dir
@@ -26,8 +27,8 @@ class Workspace:
         return f"{self.root}/{name}"
 
     def stage(self, df, name):
-        """Writes a frame and reads it back."""
-        return overwrite(df, self.path(name))
+        """Writes a frame to a folder of its own and reads it back: what is still read is never overwritten."""
+        return overwrite(df, self.path(f"{name}/{uuid.uuid4().hex}"))
 
     def table(self, name):
         if name not in self._tables:

@@ -30,12 +30,15 @@ def pin_utc(spark):
 
 
 def shared_dir(spark):
-    """The cluster's shared folder. Only a session without one (tests) gets a local folder."""
+    """The cluster's shared folder. Without one only a session in a single process (tests) gets a local folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     fallback = getattr(spark, "_shoplens_dir", None)
     if fallback is None:
         fallback = spark._shoplens_dir = tempfile.mkdtemp(prefix="shoplens-")
