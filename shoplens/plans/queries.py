@@ -886,8 +886,9 @@ def experiment_events(spark, d):
 def evaluation_report(spark, d):
     ws = workspace(spark, d)
     measured = evaluation.evaluate(ws.table("item_tfidf"), jobs.train_test(ws), stage=ws.stage)
-    lake.overwrite(evaluation.stamped(measured), ws.path("evaluation_metrics"))
-    return _rounded_metrics(evaluation.latest_report(spark, ws.path("evaluation_metrics")))
+    path = _fresh(ws, "evaluation_metrics")
+    lake.overwrite(evaluation.stamped(measured), path)
+    return _rounded_metrics(evaluation.latest_report(spark, path))
 
 
 @query("run_settings")

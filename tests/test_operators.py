@@ -288,3 +288,31 @@ def test_run_summary_counts(spark, shop):
     row = metrics.run_summary(shop, I.matrix_of(shop)).first()
     assert (row.events, row.users, row.sessions, row.cold_start_users) == (68, 5, 6, 4)
     assert row.interaction_pairs == 66
+
+
+def test_an_assignment_is_written_once(spark, tmp_path):
+    from shoplens.operators import experiments
+    path = str(tmp_path / "assignments")
+    users = spark.createDataFrame([(1,), (2,)], "user_id int")
+    experiments.append_assignments(users, path)
+    experiments.append_assignments(users.unionByName(spark.createDataFrame([(3,)], "user_id int")), path)
+    assert sorted(r.user_id for r in spark.read.parquet(path).collect()) == ["1", "2", "3"]
+
+
+def test_a_missing_report_is_empty_and_a_broken_one_is_an_error(spark, tmp_path):
+    import pytest
+    from pyspark.errors import ParseException
+    from shoplens.operators import evaluation
+    assert evaluation.latest_report(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(ParseException):
+        evaluation.stored_rows(spark, str(tmp_path), "no schema at all (")
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    import pytest
+    from types import SimpleNamespace
+    from shoplens.session import shared_dir
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(RuntimeError):
+        shared_dir(cluster)
