@@ -62,3 +62,57 @@ def components(edges, name="components"):
             break
         before = after
     return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+SMALL, ROUNDS = 16, 2
+
+
+def bucket_pairs(members, centre):
+    """Pairs (a, b), a < b, to compare in buckets; `members` has (key, node, n), n the size of the bucket.
+
+    In buckets of up to SMALL members all pairs, in larger ones each member with the bucket's `centre` (an
+    aggregate over the bucket that gives a node), so the work stays in proportion to the members.
+    """
+    few = members.where(F.col("n") <= SMALL)
+    own = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where(
+        F.col("a") < F.col("b")).select("a", "b")
+    many = members.where(F.col("n") > SMALL)
+    stars = many.join(many.groupBy("key").agg(centre.alias("centre")), "key").where(
+        F.col("node") != F.col("centre")).select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+    return own.unionByName(stars).distinct()
+
+
+def linked_classes(members, weight, verify):
+    """(node, root) of all linked nodes. `members`: (key, node, n, ...), `verify`: pairs (a, b) -> links (a, b).
+
+    In buckets of up to SMALL members all pairs are compared. A larger bucket is a group of copies, where all pairs
+    would be the square of the group: its members are compared with a centre, and as long as a round finds links
+    and it still has members of several components, in up to ROUNDS more rounds with a centre outside its main
+    component. Two nodes of a large bucket that are unlike all its centres are only compared if they also meet in
+    another bucket (they do in most: similar nodes share many keys, also such that the centres don't have).
+    """
+    tested = staged(bucket_pairs(members, F.max_by("node", weight)), "pairs")
+    links = staged(verify(tested), "links")
+    many = members.where(F.col("n") > SMALL)
+    for turn in range(ROUNDS + 1):
+        roots = components(links)
+        if turn == ROUNDS:
+            return roots
+        placed = many.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        several = (placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                                             F.max_by("root", weight).alias("main"))
+                   .where(F.col("low") != F.col("high")).select("key", "main"))
+        placed = staged(placed.join(several, "key").select("key", "node", "root", "main", weight.alias("weight")), "open")
+        centre = (placed.where(F.col("root") != F.col("main")).groupBy("key")
+                  .agg(F.max_by(F.struct("node", "root"), "weight").alias("c"))
+                  .select("key", F.col("c.node").alias("centre"), F.col("c.root").alias("centre_root")))
+        pairs = (placed.join(centre, "key").where(F.col("root") != F.col("centre_root"))
+                 .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+                 .join(tested, ["a", "b"], "left_anti"))
+        pairs = staged(pairs, "pairs")
+        if pairs.isEmpty():
+            return roots
+        fresh = staged(verify(pairs), "links")
+        if fresh.isEmpty():
+            return roots
+        tested, links = tested.unionByName(pairs), links.unionByName(fresh)

@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import components, id_and_text, staged
+from shoplens.llm.common import id_and_text, linked_classes, staged
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, LENGTH = 30, 4
@@ -155,52 +155,23 @@ def _verified(pairs, texts, least):
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _star(members, weight, name):
-    """Pairs of each member of a bucket with the bucket's centre, the member of the highest weight."""
-    centre = members.groupBy("key").agg(F.max_by("node", weight).alias("centre"))
-    pairs = members.join(centre, "key").where(F.col("node") != F.col("centre"))
-    return staged(pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-                  .distinct(), name)
-
-
 def text_classes(rows, least=SIMILARITY):
     """(node, root) of all texts that are linked to another one; `rows` has (node, text), node a hash of the text.
 
-    In a bucket of equal sketches all members are compared with one centre, not with each other: the work is the
-    number of members, also where a third of all texts are near copies. The first centre is the member that shares
-    most sketches with other texts, the original of a group of copies. As long as a round finds links and a
-    bucket still has members of several components, the next round compares them with another centre. Two similar
-    texts that are both unlike a centre share other sketches, in whose buckets that centre is not.
+    Texts of a bucket of equal sketches are compared as `linked_classes` says: where a third of all texts are near
+    copies, each with one centre. The first centre is the member that shares most sketches with other texts, the
+    original of a group of copies. Two similar texts that are both unlike a centre share other sketches, in whose
+    buckets that centre is not.
     """
     members = staged(_sketched(rows).select("node", F.explode("keys").alias("key")).distinct(), "sketches")
     sizes = members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     members = members.join(sizes, "key")
     score = members.groupBy("node").agg(F.sum("n").alias("score"))
-    members = staged(members.join(score, "node").select("key", "node", "score"), "buckets")
+    members = staged(members.join(score, "node").select("key", "node", "n", "score"), "buckets")
     wanted = members.select("node").distinct()
     texts = staged(rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
     tie = F.xxhash64("node").bitwiseAND(F.lit((1 << 20) - 1))
-    tested = _star(members, F.col("score") * (1 << 20) + tie, "pairs")
-    links = staged(_verified(tested, texts, least), "links")
-    turn = 1
-    while True:
-        roots = components(links)
-        placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed_buckets = (placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                                   F.max_by("root", F.col("score") * (1 << 20) + tie).alias("main"))
-                         .where(F.col("low") != F.col("high")).select("key", "main"))
-        open_ = staged(placed.join(mixed_buckets, "key").select("key", "node", "root", "main"), "open")
-        centre = (open_.where(F.col("root") != F.col("main")).groupBy("key")
-                  .agg(F.max_by(F.struct("node", "root"), F.xxhash64("node", F.lit(turn))).alias("c"))
-                  .select("key", F.col("c.node").alias("centre"), F.col("c.root").alias("centre_root")))
-        pairs = (open_.join(centre, "key").where(F.col("root") != F.col("centre_root"))
-                 .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-                 .join(tested, ["a", "b"], "left_anti"))
-        pairs = staged(pairs, "pairs")
-        fresh = staged(_verified(pairs, texts, least), "links")
-        if fresh.isEmpty():
-            return roots
-        tested, links, turn = tested.unionByName(pairs), links.unionByName(fresh), turn + 1
+    return linked_classes(members, F.col("score") * (1 << 20) + tie, lambda pairs: _verified(pairs, texts, least))
 
 
 def _nodes(docs):
