@@ -93,7 +93,7 @@ def write_ids(docs, vocabulary, path, block_ids=BLOCK_IDS, end_id=END_ID, bits=F
 
         for batch in batches:
             part = batch["part"][0].as_py() if len(batch) else part
-            for doc_id, own in zip(batch["doc_id"].to_pylist(), get.each(batch["text"].to_pylist())):
+            for doc_id, own in zip(batch["doc_id"].to_pylist(), get.each(batch["text"])):
                 own, at = np.append(own, np.uint32(end_id)).astype("<u4"), 0
                 while at < len(own):
                     take = min(block_ids - held, len(own) - at)
@@ -107,7 +107,7 @@ def write_ids(docs, vocabulary, path, block_ids=BLOCK_IDS, end_id=END_ID, bits=F
             yield flush()
 
     spark = docs.sparkSession
-    ordered = (id_and_text(docs).repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = (id_and_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
                .withColumn("part", F.spark_partition_id().cast("long")))
     raw = f"{path}/chunks"
     (ordered.mapInArrow(encode, f"part long, chunk long, n_ids long, payload binary, docs {SLICES}")

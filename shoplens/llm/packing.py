@@ -31,7 +31,7 @@ def cut_pieces(docs, vocabulary, capacity=CAPACITY, end_id=END_ID, with_ids=Fals
         encode, end = encoder(), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out = {name: [] for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")}
-            for doc_id, own in zip(batch["doc_id"].to_pylist(), encode.each(batch["text"].to_pylist())):
+            for doc_id, own in zip(batch["doc_id"].to_pylist(), encode.each(batch["text"])):
                 ids = own.tobytes() + end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):

@@ -10,72 +10,93 @@ LETTERS, NUMBERS, SPACES = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", "\\
 KEEPS_SPACES = re.compile(f" ?[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+"
                           f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 DROPS_SPACES = re.compile(f"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+")
-STRETCH = 1_000_000
+
+
+class _Unsure(Exception):
+    """A space next to other white space is no sure boundary."""
+
+
+class _Memory(dict):
+    """Ids of what stands between two spaces, as little-endian 32-bit integers; worked out when first asked for."""
+
+    def __init__(self, encoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, stretch):
+        value = self.encoder.stretch(stretch)
+        self[stretch] = value
+        return value
 
 
 class WordEncoder:
     """Gives the ids that the tokenizer gives for the whole text, special strings taken as ordinary text.
 
-    Both kinds of public vocabulary cut a text into words before they merge inside words, so the ids of a text
-    are the ids of its words in turn: `keeps_spaces` for byte-level vocabularies (a space belongs to the word
-    after it), otherwise lower case without white space. Words are encoded once and looked up from then on; the
-    memory is emptied when it is full, which changes no result. Texts with characters beyond Latin-1 go through
-    the tokenizer whole.
+    Both kinds of public vocabulary cut a text into words before they merge inside words, and a single space
+    between two other characters is always such a cut. So a text is cut at spaces, and what stands between them
+    is cut further by the vocabulary's own pattern (where it has characters of Latin-1 only). Words are encoded
+    once and looked up from then on; the memory is emptied when it is full, which changes no result.
+    `keeps_spaces` for byte-level vocabularies (a space belongs to the word after it); otherwise the vocabulary
+    drops white space and case.
     """
 
-    def __init__(self, path, keeps_spaces, memory=700_000):
+    def __init__(self, path, keeps_spaces, memory=800_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.keeps_spaces, self.memory, self.known = keeps_spaces, memory, {}
-        self.words = (KEEPS_SPACES if keeps_spaces else DROPS_SPACES).findall
+        self.keeps_spaces, self.memory = keeps_spaces, memory
+        self.known, self.words = _Memory(self), {}
+        self.cut = (KEEPS_SPACES if keeps_spaces else DROPS_SPACES).findall
 
-    def _encode(self, texts):
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+    def _word(self, word):
+        found = self.words.get(word)
+        if found is None:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            found = self.words[word] = np.array(ids, dtype="<u4").tobytes()
+        return found
 
-    def _words(self, text):
-        """The words of a text, None where it has to go through the tokenizer whole."""
+    def _pieces(self, text):
+        """Ids of a whole text or of a part between sure boundaries."""
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
-            return None
-        return self.words(text if self.keeps_spaces else text.lower())
-
-    def _learn(self, lists):
-        known = self.known
-        words = set().union(*lists)
-        new = list(words.difference(known))
-        if len(known) + len(new) > self.memory:
-            known.clear()
-            new = list(words)
-        known.update(zip(new, self._encode(new)))
-
-    def each(self, texts):
-        """The ids of every text in turn, as little-endian 32-bit arrays. Words are held for STRETCH characters."""
-        held, size = [], 0
-        for text in texts:
-            held.append(text)
-            size += len(text)
-            if size >= STRETCH:
-                yield from self._stretch(held)
-                held, size = [], 0
-        yield from self._stretch(held)
-
-    def _stretch(self, texts):
-        lists = [self._words(t) for t in texts]
-        self._learn([x for x in lists if x])
-        lookup = self.known.__getitem__
-        for i, words in enumerate(lists):
-            raw = self._encode([texts[i]])[0] if words is None else b"".join(map(lookup, words))
-            yield np.frombuffer(raw, "<u4")
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(map(self._word, self.cut(text if self.keeps_spaces else text.lower())))
 
+    def stretch(self, text):
+        if not self.keeps_spaces:
+            return self._pieces(text)
+        if not text or text[0].isspace() or text[-1].isspace():
+            raise _Unsure
+        return self._pieces(" " + text)
+
+    def ids(self, text):
+        """The ids of a text as a little-endian 32-bit array."""
+        if not text:
+            return np.empty(0, "<u4")
+        if len(self.known) + len(self.words) > self.memory:
+            self.known.clear()  # put together again from words
+            if len(self.words) > 0.7 * self.memory:
+                self.words.clear()
+        first, *rest = text.split(" ")
+        try:
+            if self.keeps_spaces and (not first or first[-1].isspace()):
+                raise _Unsure
+            raw = self._pieces(first) + b"".join(map(self.known.__getitem__, rest))
+        except _Unsure:
+            raw = self._pieces(text)
+        return np.frombuffer(raw, "<u4")
+
+    def each(self, column):
+        """The ids of every text of an Arrow column in turn."""
+        return (self.ids(text.as_py()) for text in column)
 
-def encoder_factory(path, keeps_spaces):
-    """One encoder for each Python worker."""
-    made = {}
 
+_MADE = {}  # one encoder for each vocabulary in a Python worker, kept from task to task
+
+
+def encoder_factory(path, keeps_spaces):
     def get():
-        if "encoder" not in made:
-            made["encoder"] = WordEncoder(path, keeps_spaces)
-        return made["encoder"]
+        if path not in _MADE:
+            _MADE[path] = WordEncoder(path, keeps_spaces)
+        return _MADE[path]
     return get
