@@ -109,7 +109,8 @@ def with_next(docs):
     line = Window.orderBy("bucket")  # one short row per bucket
     first = first.select(F.coalesce(F.lag("bucket").over(line), F.last("bucket").over(
         line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("bucket"), "first_id")
-    heads = (rows.join(first, F.col("doc_id").eqNullSafe(F.col("first_id"))).groupBy("bucket")
+    # one short row per bucket, of which there are at most COARSE + 1 times `fine`
+    heads = (rows.join(F.broadcast(first), F.col("doc_id").eqNullSafe(F.col("first_id"))).groupBy("bucket")
              .agg(F.min("text").alias("head_text"), F.first("first_id").alias("head_id")))
     is_last = F.col("next_row").isNull()
     return inside.alias("i").join(heads.alias("h"), (F.col("i.bucket") == F.col("h.bucket")) & is_last, "left").select(
