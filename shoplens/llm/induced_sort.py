@@ -59,10 +59,16 @@ class BlockQueue:
 def _blocks(symbols, sigma):
     """Block of each symbol: a frequent symbol is a block of its own, rare neighbours share one."""
     counts = np.bincount(symbols, minlength=sigma)
-    target = max(1, int(np.sqrt(len(symbols))))
+    target = max(1, 4 * int(np.sqrt(len(symbols))))
     return np.maximum.accumulate((np.cumsum(counts) - counts) // target) if sigma > 512 else np.arange(sigma)
 
 
+def _stable_order(keys):
+    """Stable order of small keys; those of a narrow range are sorted in linear time."""
+    low = keys.min()
+    return np.argsort((keys - low).astype(np.uint16) if keys.max() - low < 65536 else keys, kind="stable")
+
+
 def _induce(symbols, sigma, seeds, wanted, held):
     """All positions in `wanted` in ascending order of their suffixes, induced from the ordered `seeds`.
 
@@ -84,7 +90,7 @@ def _induce(symbols, sigma, seeds, wanted, held):
         entries = np.concatenate([pending, own])
         keys = symbols[entries] * 2 + np.repeat([0, 1], [len(pending), len(own)])
         while len(entries):
-            order = np.argsort(keys, kind="stable")
+            order = _stable_order(keys)
             entries, keys = entries[order], keys[order]
             before = entries - 1
             fine = (before >= 0) & wanted[before]
@@ -102,7 +108,7 @@ def _induce(symbols, sigma, seeds, wanted, held):
             keys = np.concatenate([keys[stop:], symbols[new[here]] * 2])
             new, places = new[~here], places[~here]
             if len(new):
-                order = np.argsort(places, kind="stable")
+                order = _stable_order(places)
                 new, places = new[order], places[order]
                 cuts = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
                 for a, b in zip(cuts, np.r_[cuts[1:], len(new)]):
