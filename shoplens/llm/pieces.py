@@ -88,7 +88,7 @@ class PieceCodec:
     it comes; the memory is emptied when full. A character outside the vocabulary becomes its UTF-8 byte pieces.
     """
 
-    def __init__(self, path, memory=300_000):
+    def __init__(self, path, memory=900_000):
         model = self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         count = model.get_piece_size()
         names = [model.id_to_piece(i) for i in range(count)]
@@ -143,13 +143,14 @@ class PieceCodec:
         return self.model.decode(ids.tolist())
 
 
-def codec_factory(path):
-    made = {}
+_MADE = {}  # one codec for each model in a Python worker, kept from task to task
+
 
+def codec_factory(path):
     def get():
-        if "codec" not in made:
-            made["codec"] = PieceCodec(path)
-        return made["codec"]
+        if path not in _MADE:
+            _MADE[path] = PieceCodec(path)
+        return _MADE[path]
     return get
 
 
