@@ -2,7 +2,7 @@
 
 The kernel of two words is the inner product over all subsequences of three characters, each weighted by
 DECAY to the length of the stretch it is spread over, stretches of at most SPAN characters, words marked at both
-ends, and divided by the words' norms. A gapped or stuffed insult keeps most of its subsequences. Landmarks give
+ends, and divided by the norms of the words' weights. A gapped or stuffed insult keeps most of its subsequences. Landmarks give
 each word finite features (kernel with the landmarks times the inverse square root of the landmarks' kernel
 matrix); a linear machine on these is a weight on subsequences, so a word is scored from its own subsequences.
 A document is scored from its highest-scoring words by a logistic model.
@@ -33,18 +33,24 @@ OFFSETS = np.array([(0, *c) for c in combinations(range(1, SPAN), 2)])
 WEIGHTS = DECAY ** (OFFSETS[:, 2] + 1.0)
 
 
+def spaced_out(words):
+    """Runs of three and more one-letter words, each joined to one."""
+    found, run = [], []
+    if sum(map((1).__eq__, map(len, words))) > 2:
+        for w in [*words, ".."]:
+            if len(w) == 1 and w.isalpha():
+                run.append(w)
+            else:
+                if len(run) > 2:
+                    found.append("".join(run))
+                run = []
+    return found
+
+
 def units(text):
     """The different units of a text: letters of each space-separated word, and runs of spaced-out letters joined."""
     words = text.lower().split()
-    found = {JUNK.sub("", w) for w in set(words)}
-    run = []
-    for w in [*words, ".."] if sum(len(w) == 1 for w in words) > 2 else ():
-        if len(w) == 1 and w.isalpha():
-            run.append(w)
-        else:
-            if len(run) > 2:
-                found.add("".join(run))
-            run = []
+    found = {JUNK.sub("", w) for w in set(words)} | set(spaced_out(words))
     found.discard("")
     return found
 
@@ -56,10 +62,10 @@ def stretches(unit):
 
 
 def subsequences(words):
-    """(word number, key of the subsequence, weight) of all words at once, each key of a word once."""
+    """(word number, key, weight) of all spread-out triples of characters of all words, and the words' norms."""
     marked = [f"\x02{w}\x03" for w in words]
     lengths = np.array([len(w) for w in marked])
-    codes = np.frombuffer("".join(marked).encode("utf-32-le"), "<u4").astype(np.int64)
+    codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
     owner = np.repeat(np.arange(len(words)), lengths)
     room = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))  # characters from here to the end
     owners, keys, weights = [], [], []
@@ -68,20 +74,13 @@ def subsequences(words):
         owners.append(owner[at])
         keys.append((codes[at] << 42) | (codes[at + b] << 21) | codes[at + c])
         weights.append(np.full(len(at), weight))
-    if not owners:
-        return np.empty(0, int), np.empty(0, np.int64), np.empty(0)
     owners, keys, weights = map(np.concatenate, (owners, keys, weights))
-    order = np.lexsort((keys, owners))
-    owners, keys, weights = owners[order], keys[order], weights[order]
-    first = np.ones(len(keys), bool)
-    first[1:] = (owners[1:] != owners[:-1]) | (keys[1:] != keys[:-1])
-    starts = np.flatnonzero(first)
-    return owners[starts], keys[starts], np.add.reduceat(weights, starts) if len(starts) else weights
+    return owners, keys, weights, np.sqrt(np.bincount(owners, weights * weights, len(words)))
 
 
 def kernel(left, right):
-    """Normalised kernel of two lists of words, from the subsequences that they share."""
-    (a, ak, aw), (b, bk, bw) = subsequences(left), subsequences(right)
+    """Kernel of two lists of words, from the subsequences that they share."""
+    (a, ak, aw, an), (b, bk, bw, bn) = subsequences(left), subsequences(right)
     out = np.zeros((len(left), len(right)))
     order = np.argsort(bk, kind="stable")
     b, bk, bw = b[order], bk[order], bw[order]
@@ -90,8 +89,11 @@ def kernel(left, right):
     of = np.repeat(np.arange(len(ak)), count)
     place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
     np.add.at(out, (a[of], b[place]), aw[of] * bw[place])
-    norm = [np.sqrt(np.bincount(o, w * w, n)) for o, w, n in ((a, aw, len(left)), (b, bw, len(right)))]
-    return out / np.outer(np.maximum(norm[0], 1e-12), np.maximum(norm[1], 1e-12))
+    return out / np.outer(np.maximum(an, 1e-12), np.maximum(bn, 1e-12))
+
+
+def _slots(keys):
+    return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
 
 
 def _machine(features, sign, weight):
@@ -126,41 +128,52 @@ class WordMachine:
         weight = np.repeat([0.5 / len(toxic), 0.5 / len(clean)], [len(toxic), len(clean)])
         line, self.bias = _machine(features, sign, weight)
         # the machine as a weight on each subsequence of a landmark
-        owner, key, w = subsequences(marks)
-        norm = np.sqrt(np.bincount(owner, w * w, len(marks)))
+        owner, key, w, norm = subsequences(marks)
         share = (root @ line)[owner] * w / norm[owner]
         self.keys, place = np.unique(key, return_inverse=True)
         self.shares = np.bincount(place, share, len(self.keys))
+        self.maybe = np.zeros(1 << 20, bool)  # most subsequences are in no landmark: a first look by hash
+        self.maybe[_slots(self.keys)] = True
+        self.memory = {}  # decisions of words, filled where the machine is used
 
     def decide(self, words):
-        owner, key, w = subsequences(words)
+        owner, key, w, norm = subsequences(words)
+        met = np.flatnonzero(self.maybe[_slots(key)])
+        owner, key, w = owner[met], key[met], w[met]
         place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         share = np.where(self.keys[place] == key, self.shares[place], 0.0)
-        norm = np.sqrt(np.bincount(owner, w * w, len(words)))
         return np.bincount(owner, w * share, len(words)) / np.maximum(norm, 1e-12) + self.bias
 
 
 class Scorer:
-    """Word decisions with a memory, and the two highest of a text."""
+    """Decisions of space-separated words with a memory, and the two highest of a text."""
 
     def __init__(self, machine):
-        self.machine, self.known = machine, {}
+        self.machine, self.known = machine, machine.memory
+
+    def _learn(self, words):
+        words = list(words)
+        for i in range(0, len(words), 20_000):
+            part = words[i:i + 20_000]
+            pieces = [stretches(JUNK.sub("", w)) for w in part]
+            sizes = np.array([len(p) for p in pieces])
+            values = self.machine.decide([s for p in pieces for s in p])
+            best = np.maximum.reduceat(values, np.r_[0, np.cumsum(sizes)[:-1]])
+            # what holds no letter says nothing
+            self.known.update((w, v if p[0] else self.machine.bias) for w, v, p in zip(part, best.tolist(), pieces))
 
     def highest(self, text):
-        own = units(text)
+        words = text.lower().split()
+        own = set(words)
         if not own:
             return self.machine.bias, self.machine.bias
-        new = list(own.difference(self.known))
+        own.update(spaced_out(words))
+        new = own.difference(self.known)
         if new:
             if len(self.known) + len(new) > MEMORY:
                 self.known.clear()
-                new = list(own)
-            for i in range(0, len(new), 20_000):
-                part = new[i:i + 20_000]
-                pieces = [s for u in part for s in stretches(u)]
-                values = self.machine.decide(pieces)
-                ends = np.cumsum([len(stretches(u)) for u in part])
-                self.known.update(zip(part, np.maximum.reduceat(values, np.r_[0, ends[:-1]]).tolist()))
+                new = own
+            self._learn(new)
         best = sorted(map(self.known.__getitem__, own))[-2:]
         return best[-1], best[0] if len(best) > 1 else self.machine.bias
 
@@ -271,7 +284,8 @@ def learn(docs, labels, documents=DOCUMENTS, words=WORDS):
     one = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     picked = (one.where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents))
-    rows = id_and_text(docs).join(picked, "doc_id").select("doc_id", "text", "toxic")
+    # at most `documents` short rows: texts are picked where they are read
+    rows = id_and_text(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic")
     shares = rows.agg(F.count("*"), F.sum("toxic")).first()
     share = (shares[1] or 0) / shares[0] if shares[0] else 0.0
     counted = (rows.select("text", "toxic").mapInArrow(_tell, "unit string, toxic int, mark long")
