@@ -29,6 +29,13 @@ def id_and_text(docs, id_col="doc_id", text_col="text"):
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def hash_share(share, *columns):
+    """Condition that holds for about `share` of all rows, by a hash: the same rows whatever the partitioning."""
+    if share >= 1:
+        return F.lit(True)
+    return F.xxhash64(*columns) < F.lit(int(share * (1 << 64)) - (1 << 63))
+
+
 def tasks(spark):
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import staged
+from shoplens.llm.common import hash_share, staged
 
 K = 5
 SAMPLE = 20_000  # vectors that centroids, probe count and first distances to beat are fitted on
@@ -114,8 +114,8 @@ def search(vectors, queries, id_col="vec_id", vector_col="embedding", k=K):
     Gives (query_id, rank, vec_id, score): nearest first, ties to the smaller id, score the cosine in double
     precision on the vectors as given; all candidates where there are fewer than k. Vectors that are null, empty,
     zero or hold null or non-finite numbers, and those of another length than most, take no part. Rows are all
-    indexed; only rotation, centroids, probe count and first results come from a sample of SAMPLE rows, those with
-    the smallest hash of their id. Lists and the queries that probe them are cut into blocks, so a list that
+    indexed; only rotation, centroids, probe count and first results come from a sample of about SAMPLE rows, those
+    with the smallest hash of their id. Lists and the queries that probe them are cut into blocks, so a list that
     holds a third of all rows is spread over many tasks. Other columns are ignored.
     """
     spark = vectors.sparkSession
@@ -126,7 +126,8 @@ def search(vectors, queries, id_col="vec_id", vector_col="embedding", k=K):
         return spark.createDataFrame([], schema)
     width, total = widths[0]["w"], widths[0]["count"]
     rows = rows.where(F.size("v") == width)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
+    sample = (rows.where(hash_share(SAMPLE / total, "vec_id")).limit(2 * SAMPLE).toPandas()
+              .sort_values("vec_id", kind="stable").iloc[:SAMPLE])
     index = Index(matrix(sample["v"], width), sample["vec_id"].to_numpy(), total, k)
     shared = spark.sparkContext.broadcast(index)  # at most SAMPLE vectors
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import id_and_text
+from shoplens.llm.common import hash_share, id_and_text
 
 # The contract's patterns, in the order in which kinds are listed
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -29,7 +29,7 @@ WORDS = ("passw", "secret", "token", "api")  # each assignment holds one of them
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")  # runs that the automaton scores
 SAMPLE = 1000  # distinct labelled credentials of each kind to learn from, those with the smallest hash
 SAMPLE_LENGTH = 256  # characters of a credential to learn from, at most
-ORDINARY = 400  # documents to learn ordinary text from, those with the smallest hash
+ORDINARY = 400  # documents to learn ordinary text from, about, those with the smallest hash
 ORDINARY_LENGTH = 20_000  # characters of such a document, at most
 ALPHA = 0.05  # a merge is refused where frequencies differ with this confidence
 MARGIN = 0.5  # likelihood ratio a character, in nats, that a span needs at least
@@ -227,8 +227,9 @@ def learn(docs, sample=SAMPLE, ordinary=ORDINARY):
                .groupBy("kind", "value").agg(F.count("*").alias("n")))
     order = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
     picked = counted.withColumn("at", F.row_number().over(order)).where(F.col("at") <= sample).collect()
-    texts = [r["text"] for r in rows.where(F.length("text") <= ORDINARY_LENGTH)
-             .orderBy(F.xxhash64("doc_id", "text"), "text").limit(ordinary).collect()]
+    share = ordinary / max(1, rows.count())
+    texts = sorted(r["text"] for r in rows.where(hash_share(share, "doc_id") & (F.length("text") <= ORDINARY_LENGTH))
+                   .limit(2 * ordinary).collect())
     return Formats(sorted((r["kind"], r["value"], r["n"]) for r in picked), texts)
 
 
