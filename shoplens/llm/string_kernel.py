@@ -132,15 +132,22 @@ class WordMachine:
         share = (root @ line)[owner] * w / norm[owner]
         self.keys, place = np.unique(key, return_inverse=True)
         self.shares = np.bincount(place, share, len(self.keys))
-        self.maybe = np.zeros(1 << 20, bool)  # most subsequences are in no landmark: a first look by hash
-        self.maybe[_slots(self.keys)] = True
+        slots = _slots(self.keys)
+        self.place = np.zeros(1 << 20, np.int32)  # of the key of each slot, from 1; 0: no landmark has it
+        self.place[slots] = np.arange(1, len(slots) + 1)
+        # keys that share a slot with another one are looked up by search
+        self.crowded = np.zeros(1 << 20, bool)
+        self.crowded[slots] = np.bincount(slots.astype(np.int64), minlength=1 << 20)[slots] > 1
         self.memory = {}  # decisions of words, filled where the machine is used
 
     def decide(self, words):
         owner, key, w, norm = subsequences(words)
-        met = np.flatnonzero(self.maybe[_slots(key)])
-        owner, key, w = owner[met], key[met], w[met]
-        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        slots = _slots(key)
+        met = np.flatnonzero(self.place[slots])
+        owner, key, w, slots = owner[met], key[met], w[met], slots[met]
+        place = self.place[slots] - 1
+        several = np.flatnonzero(self.crowded[slots])
+        place[several] = np.minimum(np.searchsorted(self.keys, key[several]), len(self.keys) - 1)
         share = np.where(self.keys[place] == key, self.shares[place], 0.0)
         return np.bincount(owner, w * share, len(words)) / np.maximum(norm, 1e-12) + self.bias
 
