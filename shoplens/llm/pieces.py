@@ -23,20 +23,19 @@ class StreamingViterbi:
 
     def __init__(self, scores, ids, longest, unknown_score):
         self.scores, self.ids, self.longest, self.unknown = scores, ids, longest, unknown_score
+        self.endings = {p[i:] for p in scores for i in range(len(p))}
         self.buffer, self.best, self.back, self.out = "", [0.0], [0], []
 
     def _extend(self, end):
         scores, best = self.scores, self.best
         top, where = -1e300, end - 1
-        for start in range(max(0, end - self.longest), end):
-            score = scores.get(self.buffer[start:end])
-            if score is None:
-                if start < end - 1:
-                    continue
-                score = self.unknown
-            score += best[start]
-            if score > top:
-                top, where = score, start
+        for start in range(end - 1, max(0, end - self.longest) - 1, -1):
+            part = self.buffer[start:end]
+            score = scores.get(part, self.unknown if start == end - 1 else None)
+            if score is not None and score + best[start] >= top:
+                top, where = score + best[start], start
+            if part not in self.endings:
+                break  # no piece ends with this or with anything longer
         best.append(top)
         self.back.append(where)
 
