@@ -1,5 +1,10 @@
-"""Pieces of a SentencePiece vocabulary: streaming Viterbi encoding, and decoding."""
+"""Pieces of a SentencePiece vocabulary: encoding, and decoding.
 
+A unigram model (scores are log probabilities) is encoded by a streaming Viterbi search. In a BPE model scores are
+ranks of merges, whose sum means nothing: it is encoded by its merges.
+"""
+
+import heapq
 import zlib
 
 import numpy as np
@@ -142,19 +147,92 @@ class PieceCodec:
         return self.model.decode(ids.tolist())
 
 
+class StreamingMerges:
+    """BPE of a stream of characters: of all neighbours whose join is a piece, the best-scoring, leftmost are joined.
+
+    Two characters that no piece holds side by side are a sure boundary: nothing is ever joined across it, and what
+    stands before it is merged and committed. The window is what has come since the last such boundary.
+    """
+
+    def __init__(self, scores, ids):
+        self.scores, self.ids = scores, ids
+        self.inside = {p[i:i + 2] for p in scores for i in range(len(p) - 1)}
+        self.buffer, self.out = "", []
+
+    def _commit(self, part):
+        scores, parts, count = self.scores, list(part), len(part)
+        after, before = list(range(1, count + 1)), list(range(-1, count - 1))
+
+        def offer(left, right):
+            score = scores.get(parts[left] + parts[right])
+            if score is not None:
+                heapq.heappush(waiting, (-score, left, len(parts[left]), len(parts[right])))
+
+        waiting = []
+        for i in range(count - 1):
+            offer(i, i + 1)
+        while waiting:
+            _, left, n, m = heapq.heappop(waiting)
+            right = after[left]
+            if right >= count or len(parts[left]) != n or len(parts[right]) != m:
+                continue  # one of the two has been joined to something else
+            parts[left] += parts[right]
+            parts[right] = ""
+            after[left] = after[right]
+            if after[left] < count:
+                before[after[left]] = left
+                offer(left, after[left])
+            if before[left] >= 0:
+                offer(before[left], left)
+        for piece in parts:
+            if piece:
+                self.out.extend(self.ids(piece))
+
+    def feed(self, text):
+        buffer, start = self.buffer + text, 0
+        for i in range(max(1, len(self.buffer)), len(buffer)):
+            if buffer[i - 1:i + 1] not in self.inside:
+                self._commit(buffer[start:i])
+                start = i
+        self.buffer = buffer[start:]
+
+    def close(self):
+        self._commit(self.buffer)
+        out, self.buffer, self.out = self.out, "", []
+        return out
+
+
+class MergeCodec(PieceCodec):
+    """Encodes with a BPE model as the model's own encoder does. No piece crosses a stretch, so no merge does."""
+
+    def __init__(self, path, memory=900_000):
+        super().__init__(path, memory)
+        self.merges = StreamingMerges(self.viterbi.scores, self._ids)
+
+    def _stretch(self, word):
+        self.merges.feed(word)
+        return np.array(self.merges.close(), "<u4").tobytes()
+
+
+def codec_of(path):
+    """The codec for the kind of model: scores of a BPE model are ranks, whole numbers."""
+    codec = PieceCodec(path)
+    return MergeCodec(path) if all(s == int(s) for s in codec.viterbi.scores.values()) else codec
+
+
 _MADE = {}  # one codec for each model in a Python worker, kept from task to task
 
 
 def codec_factory(path):
     def get():
         if path not in _MADE:
-            _MADE[path] = PieceCodec(path)
+            _MADE[path] = codec_of(path)
         return _MADE[path]
     return get
 
 
 def encode_texts(docs, model, with_ids=True):
-    """Each text's ids by streaming Viterbi, decoded again: (doc_id, n_tokens, ids_crc32, decoded_equal[, ids]).
+    """Each text's ids, as the model's own encoder gives them, decoded again: (doc_id, n_tokens, ids_crc32, decoded_equal[, ids]).
 
     A null or empty text has no ids. Repeated rows stay, other columns are ignored, a null id stays null.
     `decoded_equal` tells whether decoding gives back the text as the vocabulary normalises it.
