@@ -71,7 +71,7 @@ def components(edges, name="components"):
     return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-SMALL, ROUNDS = 16, 2
+SMALL, ROUNDS, BLOCK = 16, 2, 256
 
 
 def bucket_pairs(members, centre):
@@ -89,37 +89,59 @@ def bucket_pairs(members, centre):
     return own.unionByName(stars).distinct()
 
 
+def _across(placed):
+    """All pairs (a, b), a < b, of a bucket's members of different components; `placed` has (key, node, root).
+
+    A bucket is cut into blocks of about BLOCK members, and each pair of blocks is a key of its own.
+    """
+    sizes = placed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    cut = placed.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = cut.select("key", "node", "root", "own", other).select(
+        "key", "node", "root", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    left = dealt.select("key", "low", "high", F.col("node").alias("a"), F.col("root").alias("root_a"))
+    right = dealt.select("key", "low", "high", F.col("node").alias("b"), F.col("root").alias("root_b"))
+    return left.join(right, ["key", "low", "high"]).where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
+                                                          ).select("a", "b").distinct()
+
+
 def linked_classes(members, weight, verify):
     """(node, root) of all linked nodes. `members`: (key, node, n, ...), `verify`: pairs (a, b) -> links (a, b).
 
-    In buckets of up to SMALL members all pairs are compared. A larger bucket is a group of copies, where all pairs
-    would be the square of the group: its members are compared with a centre, and as long as a round finds links
-    and it still has members of several components, in up to ROUNDS more rounds with a centre outside its main
-    component. Two nodes of a large bucket that are unlike all its centres are only compared if they also meet in
-    another bucket (they do in most: similar nodes share many keys, also such that the centres don't have).
+    The classes are those that comparing all pairs of every bucket gives. In buckets of up to SMALL members that is
+    done. A larger bucket is mostly a group of copies: its members are compared with a centre, and while that finds
+    links, in up to ROUNDS more rounds with a centre out of a component that had none in this bucket. Pairs inside a
+    component need no comparison; all that are left between components are then compared.
     """
-    tested = staged(bucket_pairs(members, F.max_by("node", weight)), "pairs")
+    first = F.max_by("node", weight)
+    tested = staged(bucket_pairs(members, first), "pairs")
     links = staged(verify(tested), "links")
     many = members.where(F.col("n") > SMALL)
+    centres = staged(many.groupBy("key").agg(first.alias("node")), "centres")
     for turn in range(ROUNDS + 1):
         roots = components(links)
-        if turn == ROUNDS:
+        placed = many.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        several = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
+            F.col("low") != F.col("high")).select("key")
+        placed = staged(placed.join(several, "key").select("key", "node", "root"), "open")
+        if placed.isEmpty():
             return roots
-        placed = many.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        several = (placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                             F.max_by("root", weight).alias("main"))
-                   .where(F.col("low") != F.col("high")).select("key", "main"))
-        placed = staged(placed.join(several, "key").select("key", "node", "root", "main", weight.alias("weight")), "open")
-        centre = (placed.where(F.col("root") != F.col("main")).groupBy("key")
-                  .agg(F.max_by(F.struct("node", "root"), "weight").alias("c"))
-                  .select("key", F.col("c.node").alias("centre"), F.col("c.root").alias("centre_root")))
-        pairs = (placed.join(centre, "key").where(F.col("root") != F.col("centre_root"))
+        if turn == ROUNDS:
+            break
+        had = placed.join(centres, ["key", "node"], "left_semi").select("key", "root").distinct()
+        fresh = placed.join(had, ["key", "root"], "left_anti").groupBy("key").agg(
+            F.max_by(F.struct("node", "root"), F.xxhash64("key", "node")).alias("c")).select(
+            "key", F.col("c.node").alias("centre"), F.col("c.root").alias("centre_root"))
+        fresh = staged(fresh, "centres")
+        pairs = (placed.join(fresh, "key").where(F.col("root") != F.col("centre_root"))
                  .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
                  .join(tested, ["a", "b"], "left_anti"))
         pairs = staged(pairs, "pairs")
-        if pairs.isEmpty():
-            return roots
-        fresh = staged(verify(pairs), "links")
-        if fresh.isEmpty():
-            return roots
-        tested, links = tested.unionByName(pairs), links.unionByName(fresh)
+        found = staged(verify(pairs), "links")
+        tested, centres = tested.unionByName(pairs), centres.unionByName(fresh.select("key", F.col("centre").alias("node")))
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+    pairs = staged(_across(placed).join(tested, ["a", "b"], "left_anti"), "pairs")
+    found = staged(verify(pairs), "links")
+    return roots if found.isEmpty() else components(links.unionByName(found))

@@ -158,10 +158,8 @@ def _verified(pairs, texts, least):
 def text_classes(rows, least=SIMILARITY):
     """(node, root) of all texts that are linked to another one; `rows` has (node, text), node a hash of the text.
 
-    Texts of a bucket of equal sketches are compared as `linked_classes` says: where a third of all texts are near
-    copies, each with one centre. The first centre is the member that shares most sketches with other texts, the
-    original of a group of copies. Two similar texts that are both unlike a centre share other sketches, in whose
-    buckets that centre is not.
+    Texts of a bucket of equal sketches are compared as `linked_classes` says. The first centre is the member that
+    shares most sketches with other texts, the original of a group of copies.
     """
     members = staged(_sketched(rows).select("node", F.explode("keys").alias("key")).distinct(), "sketches")
     sizes = members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)

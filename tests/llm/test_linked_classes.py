@@ -1,0 +1,39 @@
+import random
+
+from pyspark.sql import functions as F
+
+from shoplens.llm import common
+
+
+def brute(buckets, alike):
+    parent = {}
+    root = lambda x: x if parent.get(x, x) == x else root(parent[x])
+    for nodes in buckets.values():
+        for a in nodes:
+            for b in nodes:
+                if a < b and alike(a, b) and root(a) != root(b):
+                    low, high = sorted((root(a), root(b)))
+                    parent[high] = low
+    return {n: root(n) for nodes in buckets.values() for n in nodes}
+
+
+def check(spark, buckets, alike, condition):
+    rows = [(k, n, len(nodes)) for k, nodes in buckets.items() for n in nodes]
+    members = common.staged(spark.createDataFrame(rows, "key long, node long, n long"), "members")
+    found = common.linked_classes(members, F.xxhash64("node"), lambda pairs: pairs.where(condition))
+    roots = {r.node: r.root for r in found.collect()}
+    assert {n: roots.get(n, n) for n in sorted(set().union(*buckets.values()))} == brute(buckets, alike)
+
+
+def test_families_in_a_bucket_of_hundreds(spark):
+    """Families of nodes alike in the hundreds place, and loners, in one bucket and in overlapping ones."""
+    rng = random.Random(6)
+    nodes = [100 * f + i for f in range(12) for i in range(rng.choice([1, 2, 30, 60]))]
+    check(spark, {1: nodes, 2: rng.sample(nodes, len(nodes) // 2), 3: nodes[:10]},
+          lambda a, b: a // 100 == b // 100, F.floor(F.col("a") / 100) == F.floor(F.col("b") / 100))
+
+
+def test_chains_in_a_bucket_of_hundreds(spark):
+    """Each node is alike only to the next one: no centre reaches more than its neighbours."""
+    nodes = [n for n in range(700) if n % 90]
+    check(spark, {1: nodes}, lambda a, b: b - a == 1, F.col("b") - F.col("a") == 1)
