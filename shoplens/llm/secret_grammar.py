@@ -11,11 +11,12 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import hash_share, id_and_text
+from shoplens.llm.common import id_and_text
 
 # The contract's patterns, in the order in which kinds are listed
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -29,8 +30,8 @@ WORDS = ("passw", "secret", "token", "api")  # each assignment holds one of them
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")  # runs that the automaton scores
 SAMPLE = 1000  # distinct labelled credentials of each kind to learn from, those with the smallest hash
 SAMPLE_LENGTH = 256  # characters of a credential to learn from, at most
-ORDINARY = 400  # documents to learn ordinary text from, about, those with the smallest hash
-ORDINARY_LENGTH = 20_000  # characters of such a document, at most
+ALPHABET = " ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"  # the space: any other character
+PLACES = np.array([max(0, ALPHABET.find(chr(i))) for i in range(129)])
 ALPHA = 0.05  # a merge is refused where frequencies differ with this confidence
 MARGIN = 0.5  # likelihood ratio a character, in nats, that a span needs at least
 LEAST = 0.02  # share of labelled credentials that may fall below the bound that is learnt
@@ -160,15 +161,14 @@ class Automaton:
 
 
 class Ordinary:
-    """Pairs of characters in ordinary text, smoothed."""
+    """Pairs of characters in ordinary text, smoothed; `counts` has (first, second, n), the space for all that is
+    outside of the alphabet."""
 
-    def __init__(self, texts):
+    def __init__(self, counts):
         pairs, single = Counter(), Counter()
-        for text in texts:
-            for word in re.findall(r"[A-Za-z0-9+/_=-]+", text):
-                word = f" {word} "
-                pairs.update(zip(word, word[1:]))
-                single.update(word[:-1])
+        for first, second, n in counts:
+            pairs[first, second] += n
+            single[first] += n
         self.pairs = {k: math.log((n + 0.5) / (single[k[0]] + 33)) for k, n in pairs.items()}
         self.rare = {c: math.log(0.5 / (n + 33)) for c, n in single.items()}
         self.unseen = math.log(1 / 66)
@@ -181,12 +181,12 @@ class Ordinary:
 class Formats:
     """One automaton a kind of labelled credential, the model of ordinary text, and the bound that is learnt."""
 
-    def __init__(self, labelled, texts):
+    def __init__(self, labelled, counts):
         by_kind = defaultdict(list)
         for kind, value, count in labelled:
             by_kind[kind].append((value, count))
         self.automata = [Automaton(v) for _, v in sorted(by_kind.items())]
-        self.ordinary = Ordinary(texts)
+        self.ordinary = Ordinary(counts)
         scores = sorted(s for v in by_kind.values() for x, _ in v if (s := self.score(x)) is not None)
         self.bound = max(MARGIN, scores[int(LEAST * len(scores))]) if scores else None
 
@@ -212,8 +212,30 @@ class Formats:
         return found
 
 
-def learn(docs, sample=SAMPLE, ordinary=ORDINARY):
-    """Labelled credentials of the whole table, counted; a bounded number of distinct ones is learnt from."""
+def _character_pairs(batches):
+    """Rows (pair, n) of all texts of a task, summed up; a text begins and ends with a space."""
+    size = len(ALPHABET)
+    total = np.zeros(size * size, np.int64)
+    for batch in batches:
+        for text in batch["text"].to_pylist():
+            codes = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), "<u4")
+            place = PLACES[np.minimum(codes, 128)]
+            total += np.bincount(place[:-1] * size + place[1:], minlength=size * size)
+    total[0] = 0  # between two spaces there is no word
+    met = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(total[met], pa.int64())], ["pair", "n"])
+
+
+def ordinary_counts(rows):
+    """(first, second, n) of the character pairs of all texts: at most one row for each pair of the alphabet."""
+    found = (rows.select("text").mapInArrow(_character_pairs, "pair int, n long")
+             .groupBy("pair").agg(F.sum("n").alias("n")).collect())
+    return sorted((*map(ALPHABET.__getitem__, divmod(r["pair"], len(ALPHABET))), r["n"]) for r in found)
+
+
+def learn(docs, sample=SAMPLE):
+    """Labelled credentials and character pairs of the whole table, counted; a bounded number of distinct
+    credentials is learnt from."""
     rows = id_and_text(docs)
 
     def labelled(batches):
@@ -227,10 +249,7 @@ def learn(docs, sample=SAMPLE, ordinary=ORDINARY):
                .groupBy("kind", "value").agg(F.count("*").alias("n")))
     order = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
     picked = counted.withColumn("at", F.row_number().over(order)).where(F.col("at") <= sample).collect()
-    share = ordinary / max(1, rows.count())
-    texts = sorted(r["text"] for r in rows.where(hash_share(share, "doc_id") & (F.length("text") <= ORDINARY_LENGTH))
-                   .limit(2 * ordinary).collect())
-    return Formats(sorted((r["kind"], r["value"], r["n"]) for r in picked), texts)
+    return Formats(sorted((r["kind"], r["value"], r["n"]) for r in picked), ordinary_counts(rows))
 
 
 def scan(docs, formats=None):
