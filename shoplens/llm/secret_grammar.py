@@ -27,10 +27,10 @@ KINDS = ("assign", "access", "hex", "format")
 ASSIGN_VALUE, ACCESS_LENGTH = 6, 20
 
 WORDS = ("passw", "secret", "token", "api")  # each assignment holds one of them in lower case
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")  # runs that the automaton scores
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]+")  # runs that the automaton scores, the alphabet of assigned values
 SAMPLE = 1000  # distinct labelled credentials of each kind to learn from, those with the smallest hash
 SAMPLE_LENGTH = 256  # characters of a credential to learn from, at most
-ALPHABET = " ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"  # the space: any other character
+ALPHABET = " ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"  # the space: any other character
 PLACES = np.array([max(0, ALPHABET.find(chr(i))) for i in range(129)])
 ALPHA = 0.05  # a merge is refused where frequencies differ with this confidence
 MARGIN = 0.5  # likelihood ratio a character, in nats, that a span needs at least
@@ -196,19 +196,27 @@ class Formats:
         return (max(found) - self.ordinary.log_likelihood(value)) / len(value) if found else None
 
     def spans(self, text, base):
-        """Candidates outside the base spans that look like a credential."""
+        """Runs outside the base spans, and what is left of a run beside one, that look like a credential."""
         if self.bound is None:
             return []
         found = []
         for m in CANDIDATE.finditer(text):
-            value = m[0]
-            if value.isalpha() and (value.islower() or value[1:].islower()):
-                continue  # one written word: a letter run of one case holds no format
-            if any(start < m.end() and m.start() < end for start, _, end, _ in base):
+            if m.end() - m.start() < ASSIGN_VALUE:
                 continue
-            score = self.score(value)
-            if score is not None and score >= self.bound:
-                found.append((m.start(), 3, m.end(), value))
+            at, parts = m.start(), []
+            for start, _, end, _ in base:
+                if at < end and start < m.end():
+                    parts.append((at, start))
+                    at = end
+            for start, end in [*parts, (at, m.end())]:
+                if end - start < ASSIGN_VALUE:
+                    continue
+                value = text[start:end]
+                if value.isalpha() and (value.islower() or value[1:].islower()):
+                    continue  # one written word: a letter run of one case holds no format
+                score = self.score(value)
+                if score is not None and score >= self.bound:
+                    found.append((start, 3, end, value))
         return found
 
 
