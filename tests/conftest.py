@@ -24,20 +24,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def small():
     return SMALL
-
-
-def rows(df, *order):
-    return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]
-
-
-EVENT_DDL = ("timestamp timestamp, event_type string, item_id int, category_id bigint, category_code string, "
-             "brand string, price double, user_id int, session_id string")
-
-
-def make_events(spark, tuples):
-    """(minute, type, item, code, brand, price, user, session) -> contract events."""
-    from datetime import datetime, timedelta
-    start = datetime(2020, 1, 1)
-    return spark.createDataFrame([
-        (start + timedelta(minutes=m), t, i, 100 + i, code, brand, price, u, s)
-        for m, t, i, code, brand, price, u, s in tuples], EVENT_DDL)

@@ -5,7 +5,7 @@ import json
 import math
 
 import pytest
-from conftest import make_events, rows
+from event_tables import make_events, rows
 from pyspark.sql import functions as F
 
 from shoplens import config
