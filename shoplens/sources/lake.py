@@ -1,8 +1,11 @@
 """The date-partitioned parquet lake and the overwrite sinks."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from shoplens.schema import EVENT_FIELDS, LAKE, PARTITIONS
+from shoplens.session import shared_dir
 
 
 def with_partitions(df, timestamp="timestamp"):
@@ -35,3 +38,13 @@ def events(lake):
 def overwrite(df, path):
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fresh_path(spark, name):
+    """A new folder in the cluster's shared folder."""
+    return f"{shared_dir(spark)}/shoplens/{spark.sparkContext.applicationId}/{name}/{uuid.uuid4().hex}"
+
+
+def written(df, name):
+    """Writes a frame to a folder of its own and reads it back: what is still read is never overwritten."""
+    return overwrite(df, fresh_path(df.sparkSession, name))
