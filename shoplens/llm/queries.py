@@ -3,7 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shoplens.llm import bitplanes, dimension_scan, fuzzy_lines, order_minhash, packing, pieces, secret_grammar, simhash, string_kernel, suffix_dedup
+from shoplens.llm import (bitplanes, dimension_scan, fuzzy_lines, mixing, order_minhash, packing, pieces, secret_grammar,
+                          simhash, string_kernel, suffix_dedup)
 from shoplens.llm.common import read_table
 
 QUERIES, ORACLES = {}, {}
@@ -79,3 +80,9 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """Toxicity of all documents."""
     return string_kernel.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op12_hash_mixing", mixing.ORACLE)
+def op12(spark, sf_dir):
+    """How many words of each document a mix by target weights takes."""
+    return mixing.mix(read_table(spark, sf_dir, "documents")).drop("source", "hash")
