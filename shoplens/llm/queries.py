@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shoplens.llm import (bitplanes, dimension_scan, fuzzy_lines, mixing, order_minhash, packing, pieces, secret_grammar,
-                          simhash, string_kernel, suffix_dedup)
+from shoplens.llm import (bitplanes, dimension_scan, fuzzy_lines, lexical_treap, mixing, order_minhash, packing, pieces,
+                          repair, secret_grammar, simhash, string_kernel, suffix_dedup)
 from shoplens.llm.common import read_table
 
 QUERIES, ORACLES = {}, {}
@@ -86,3 +86,15 @@ def op10(spark, sf_dir):
 def op12(spark, sf_dir):
     """How many words of each document a mix by target weights takes."""
     return mixing.mix(read_table(spark, sf_dir, "documents")).drop("source", "hash")
+
+
+@query("op13_conversation_repair")
+def op13(spark, sf_dir):
+    """Faults and cheapest repair of all conversations after damage."""
+    return repair.audits(repair.damaged(read_table(spark, sf_dir, "conversations")))
+
+
+@query("op11_k2_treap", lexical_treap.ORACLE)
+def op11(spark, sf_dir):
+    """The 20 best documents of each benchmark item."""
+    return lexical_treap.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
