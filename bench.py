@@ -18,7 +18,8 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 
 JOBS = ("events", "interaction_matrix", "item_features", "item_tfidf", "category_complements",
         "content_recommendations", "content_lists", "popular_lists", "control_lists", "item_docs", "user_docs",
-        "sessions", "requests", "index", "session_items", "session_features", "prepared_requests", "als_lists")
+        "sessions", "requests", "popular_head", "known_blocks", "trigram_postings", "session_items", "session_features",
+        "prepared_requests", "als_lists")
 READS = ("bought_together", "embedding_neighbours", "offline_evaluation", "als_unseen_recommendations",
          "als_evaluation", "catalog_indexes", "run_summary", "reranked")
 

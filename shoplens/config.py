@@ -27,7 +27,8 @@ RECENT_ITEMS = 10
 SEEN_ITEMS = 200
 PERSONAS_WARM, PERSONAS_COLD = 12, 8
 
-SEARCH_INDEX_SIZE = 5000
+POPULAR_HEAD = 5000  # items that meet candidates by broadcast; bounds no result
+KNOWN_BLOCK = 2048
 POPULAR_CANDIDATES = 30
 CATEGORY_CANDIDATES = 20
 SESSION_ANCHORS = 3
@@ -97,4 +98,3 @@ HEAVY_SHARE = 0.001
 SALTS = 32
 PAIR_BLOCK = 128
 UNSEEN_HEAD = 2000
-RANK_BUCKETS = 256

@@ -1,10 +1,8 @@
-"""Top-k, ordered lists and ranks that do not need one big window."""
+"""Top-k and ordered lists (places in a whole order: see ordered)."""
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shoplens import config
-
 
 def top_k(df, keys, order, k, rank="rank"):
     """First k rows of each key. Spark trims every key to k before the shuffle as well."""
@@ -26,23 +24,3 @@ def head_list(df, order, n, field):
     numbered = rows.withColumn("_rn", F.row_number().over(Window.orderBy(*order)))
     packed = F.transform(F.sort_array(F.collect_list(F.struct("_rn", F.col(field).alias("_v")))), lambda r: r["_v"])
     return numbered.agg(packed.alias("head")).scalar()
-
-
-def spread_rank(df, group, score, ties, buckets=config.RANK_BUCKETS):
-    """Rank inside each group by score descending, without one task per group.
-
-    Score quantiles of the whole input cut every group into buckets; a row's rank is the
-    size of the better buckets of its group (a small counting table) plus its place in its
-    own bucket, so the biggest window is one bucket of one group.
-    """
-    steps = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.array_distinct(F.percentile_approx(score, steps, 10000)).alias("cuts")).scalar()
-    bucketed = df.withColumn("_cuts", cuts) \
-        .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: F.col(score) < c))).drop("_cuts")
-    counts = bucketed.groupBy(group, "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    own = Window.partitionBy(group, "_bucket").orderBy(F.desc(score), *ties)
-    return bucketed.join(offsets, [group, "_bucket"]) \
-        .withColumn("rank", (F.row_number().over(own) + F.col("_before")).cast("int")) \
-        .drop("_bucket", "_before")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from shoplens import config
 from shoplens.operators import (catalog, complements, content, evaluation, factorization, interactions as I,
-                                items as IT, profiles, rerank, routing)
+                                items as IT, listing, profiles, rerank, routing)
 from shoplens.operators.ranking import ranked_list
 from shoplens.operators.rerank.context import session_docs, session_rows
 from shoplens.sources.tables import behaviour_events, table
@@ -126,13 +126,23 @@ def sessions(ws):
 
 
 @job
-def index(ws):
-    return catalog.search_index(ws.table("item_docs"))
+def popular_head(ws):
+    return catalog.popular_head(ws.table("item_docs"))
+
+
+@job
+def trigram_postings(ws):
+    return listing.trigram_postings(ws.table("item_docs"))
+
+
+@job
+def known_blocks(ws):
+    return profiles.known_blocks(ws.table("interaction_matrix"))
 
 
 @job
 def session_items(ws):
-    return session_rows(ws.table("sessions"), ws.table("item_docs"), ws.table("index").select("item_id"))
+    return session_rows(ws.table("sessions"), ws.table("item_docs"), ws.table("popular_head").select("item_id"))
 
 
 @job
@@ -153,4 +163,4 @@ def requests(ws):
 @job
 def prepared_requests(ws):
     return rerank.prepared_requests(*[ws.table(name) for name in (
-        "requests", "item_docs", "user_docs", "control_lists", "session_features", "category_complements", "index")])
+        "requests", "item_docs", "user_docs", "control_lists", "session_features", "category_complements", "popular_head")])

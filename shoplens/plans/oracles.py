@@ -86,8 +86,7 @@ CTES = {
           JOIN (SELECT category_code, count(*) AS n FROM ucat GROUP BY ALL) a ON a.category_code = p.category
           JOIN (SELECT category_code, count(*) AS n FROM ucat GROUP BY ALL) b ON b.category_code = p.other))
         WHERE rank <= {config.COMPLEMENTS}""",
-    "idx": f"""SELECT *, row_number() OVER (ORDER BY popularity_score DESC, CAST(item_id AS VARCHAR) DESC) AS place FROM items
-        ORDER BY place LIMIT {config.SEARCH_INDEX_SIZE}""",
+    "idx": f"""SELECT *, row_number() OVER (ORDER BY popularity_score DESC, CAST(item_id AS VARCHAR) DESC) AS place FROM items""",
     "emb": "SELECT CAST(vec_id AS INT) AS item_id, embedding AS v FROM embeddings",
     "topprofile": f"""SELECT user_id, token, {settled('w', 4)} AS w FROM (SELECT user_id, token, round(w, 10) AS w,
         row_number() OVER (PARTITION BY user_id ORDER BY round(w, 10) DESC, token) AS rank FROM profile)
@@ -199,7 +198,7 @@ CTES["cand"] = f"""SELECT request_id, user_id, ctx, item_id, arg_min(source, pri
         JOIN sim a ON a.item_id = s.item_id AND a.rank <= {config.NEIGHBOURS_PER_ANCHOR}
       UNION ALL SELECT r.*, p.item_id, 'popular', 7 FROM req r CROSS JOIN (SELECT item_id FROM idx WHERE place <= {config.POPULAR_CANDIDATES}) p) c
     WHERE item_id IS DISTINCT FROM ctx
-      AND NOT EXISTS (SELECT 1 FROM seen WHERE seen.user_id = c.user_id AND seen.item_id = c.item_id)
+      AND NOT EXISTS (SELECT 1 FROM mx WHERE mx.user_id = c.user_id AND mx.item_id = c.item_id)
       AND NOT EXISTS (SELECT 1 FROM live WHERE live.user_id = c.user_id AND live.item_id = c.item_id)
       AND EXISTS (SELECT 1 FROM items WHERE items.item_id = c.item_id)
     GROUP BY ALL"""

@@ -7,7 +7,7 @@ from shoplens.functions import events as E
 from shoplens.functions import text, vectors as V
 from shoplens.functions.experiments import variant
 from shoplens.operators import (catalog, complements, content, cooccurrence, evaluation, experiments,
-                                interactions as I, items as IT, metrics, profiles, sanity)
+                                interactions as I, items as IT, listing, metrics, profiles, sanity)
 from shoplens.plans.oracles import settled, sql
 from shoplens.operators import factorization, neighbours, routing
 from shoplens.operators.rerank import candidates as RC, context as RX, factors as RF, variety as RV, views
@@ -289,28 +289,36 @@ def category_rollup(spark, d):
     return catalog.category_labels(catalog.category_rollup(catalog.described_items(_weighted(spark, d))))
 
 
-@query("catalog_indexes", """SELECT 'catalog:popular' AS index_name, CAST(row_number() OVER (ORDER BY popularity_score DESC,
-      CAST(item_id AS VARCHAR) DESC) AS INT) AS rank, item_id, popularity_score AS score FROM items
-    UNION ALL SELECT 'catalog:category:' || root, CAST(row_number() OVER (PARTITION BY root ORDER BY popularity_score DESC,
-      CAST(item_id AS VARCHAR) DESC) AS INT), item_id, popularity_score FROM items""")
+@query("catalog_indexes", """SELECT 'catalog:popular' AS index_name, row_number() OVER (ORDER BY popularity_score DESC,
+      CAST(item_id AS VARCHAR) DESC) AS rank, item_id, popularity_score AS score FROM items
+    UNION ALL SELECT 'catalog:category:' || root, row_number() OVER (PARTITION BY root ORDER BY popularity_score DESC,
+      CAST(item_id AS VARCHAR) DESC), item_id, popularity_score FROM items""")
 def catalog_indexes(spark, d):
     return keyed.ranked_indexes(catalog.described_items(_weighted(spark, d))).select("index_name", "rank", "item_id", "score")
 
 
-@query("top_of_index", """SELECT item_id, popularity_score AS score, CAST(place AS INT) AS rank FROM idx WHERE place BETWEEN 11 AND 40""")
+@query("top_of_index", """SELECT item_id, popularity_score AS score, place AS rank FROM idx WHERE place BETWEEN 11 AND 40""")
 def top_of_index(spark, d):
     indexes = keyed.ranked_indexes(catalog.described_items(_weighted(spark, d)))
     return keyed.top_of_index(indexes, "catalog:popular", 10, 30).select("item_id", "score", "rank")
 
 
-@query("catalog_listing", f"""SELECT * FROM (SELECT {PUBLIC}, false AS has_embedding, place, count(*) OVER () AS total,
+@query("catalog_listing", f"""SELECT * FROM (SELECT {PUBLIC}, count(*) OVER () AS total,
       CAST(row_number() OVER (ORDER BY place) AS INT) AS position FROM idx WHERE root = 'standard'
       AND contains(lower({NAME} || ' ' || coalesce(category_code, '') || ' ' || CAST(item_id AS VARCHAR)), 'brand#1'))
     WHERE position BETWEEN 3 AND 26""")
 def catalog_listing(spark, d):
-    index = catalog.search_index(catalog.described_items(_weighted(spark, d)))
-    return catalog.listing(index, "standard", "Brand#1", 2, 24) \
-        .withColumn("category_path", F.array_join("category_path", " > "))
+    ws = workspace(spark, d)
+    return listing.listing(ws.table("item_docs"), ws.table("trigram_postings"), "standard", "Brand#1", 2, 24) \
+        .drop("has_embedding").withColumn("category_path", F.array_join("category_path", " > "))
+
+
+@query("catalog_search", f"""SELECT item_id, name FROM (SELECT item_id, {NAME} AS name, lower({NAME} || ' ' || coalesce(category_code, '') || ' '
+    || CAST(item_id AS VARCHAR)) AS hay FROM items) WHERE contains(hay, 'el') AND contains(hay, '7') AND contains(hay, 'brand#')""")
+def catalog_search(spark, d):
+    """Everything that holds three terms, two of them shorter than a trigram."""
+    ws = workspace(spark, d)
+    return listing.matching(ws.table("item_docs"), ws.table("trigram_postings"), query="7 el Brand#").select("item_id", "name")
 
 
 # --- evaluation -------------------------------------------------------------------------------
@@ -541,16 +549,17 @@ def personas(spark, d):
 @query("popular_in_category", f"""SELECT category_code AS category, item_id, CAST(rank AS INT) AS rank FROM incode WHERE rank <= {config.CATEGORY_CANDIDATES}
     UNION ALL SELECT CAST(category_id AS VARCHAR), item_id, CAST(rank AS INT) FROM inid WHERE rank <= {config.CATEGORY_CANDIDATES}""")
 def popular_in_category(spark, d):
-    index = workspace(spark, d).table("index")
-    part = lambda key: RC.popular_in_category(index, key).select(F.col(key).cast("string").alias("category"), "item_id", "rank")
+    items = workspace(spark, d).table("item_docs")
+    part = lambda key: RC.popular_in_category(items, key).select(F.col(key).cast("string").alias("category"), "item_id", "rank")
     return part("category_code").unionByName(part("category_id"))
 
 
 @query("complement_categories", """SELECT category AS category_code, CAST(rank AS INT) AS position, other AS category, score, users, kind, value FROM allcompl""")
 def complement_categories(spark, d):
     ws = workspace(spark, d)
-    codes = ws.table("item_docs").where(F.col("category_code").isNotNull()).select("category_code")
-    rows = RC.complement_categories(codes, ws.table("category_complements"), ws.table("index"))
+    items = ws.table("item_docs")
+    codes = items.where(F.col("category_code").isNotNull()).select("category_code")
+    rows = RC.complement_categories(codes, ws.table("category_complements"), items)
     return rows.select("category_code", F.posexplode("complements").alias("p", "c")) \
         .select("category_code", (F.col("p") + 1).alias("position"), "c.*")
 
@@ -583,17 +592,21 @@ def copurchase_scores(spark, d):
     return workspace(spark, d).table("prepared_requests").select("request_id", F.explode("copurchase").alias("item_id", "score"))
 
 
+def _rerank_tables(ws):
+    return ws.table("prepared_requests"), ws.table("item_docs"), ws.table("popular_head").select("item_id"), ws.table("known_blocks")
+
+
 @query("rerank_candidates", "SELECT request_id, item_id, source FROM cand")
 def rerank_candidates(spark, d):
     ws = workspace(spark, d)
-    return RF.candidate_items(ws.table("prepared_requests"), ws.table("item_docs"), ws.table("index").select("item_id")).select("request_id", "item_id", "source")
+    return RF.candidate_items(*_rerank_tables(ws)).select("request_id", "item_id", "source")
 
 
 _FACTOR_COLUMNS = ("context", "complement", "copurchase", "content", "session", "category", "price", "brand", "popularity")
 
 
 def _with_factors(ws):
-    return RF.with_factors(ws.table("prepared_requests"), ws.table("item_docs"), ws.table("index").select("item_id"))
+    return RF.with_factors(*_rerank_tables(ws))
 
 
 @query("rerank_factors", f"SELECT request_id, item_id, {settled('als_raw', 6)} AS als_raw, {settled('least(coalesce(als_raw, 0.0), 1.0)', 6)} AS als, "
@@ -663,7 +676,7 @@ def item_details(spark, d):
     ws = workspace(spark, d)
     items = ws.table("item_docs")
     related = RC.complement_categories(items.where(F.col("category_code").isNotNull()).select("category_code"),
-                                       ws.table("category_complements"), ws.table("index"))
+                                       ws.table("category_complements"), items)
     size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
     best = lambda c: F.coalesce(F.col(c)[0]["item_id"], F.lit(-1))
     return views.item_details(items, related).select(
@@ -818,7 +831,7 @@ def session_feature_stream(spark, d):
     ws = workspace(spark, d)
     run = _fresh(ws, "session_features")
     items = ws.table("item_docs")
-    _session_changes(ws, SF.feature_batch(items, ws.table("index").select("item_id"), run), run)
+    _session_changes(ws, SF.feature_batch(items, ws.table("popular_head").select("item_id"), run), run)
     with_session = spark.read.parquet(f"{run}/features").where(F.col("session").isNotNull())
     newest = with_session.groupBy("user_id").agg(F.max("version").alias("version"))
     return with_session.join(newest, ["user_id", "version"], "left_semi") \

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shoplens.operators.ranking import spread_rank
+from shoplens.operators.ordered import numbered
 
 WITH_NULLS = {"ignoreNullFields": "false"}
 
@@ -40,12 +40,12 @@ def ranked_indexes(items):
     """(index_name, rank, item_id, score): the whole catalog, and each root category.
 
     Equal scores go by member text descending, as in a sorted set read from the top. The
-    catalog-wide index is one group of everything, hence the spread rank.
+    catalog-wide index is one group of everything, hence places from range partitions.
     """
     scored = items.select("item_id", F.coalesce("popularity_score", F.lit(0.0)).alias("score"), "root")
     both = scored.select(F.explode(F.array(F.lit("catalog:popular"), F.concat(F.lit("catalog:category:"), "root")))
                          .alias("index_name"), "item_id", "score")
-    return spread_rank(both, "index_name", "score", [F.desc(F.col("item_id").cast("string"))])
+    return numbered(both, [F.desc("score"), F.desc(F.col("item_id").cast("string"))], "index_name")
 
 
 def top_of_index(indexes, name, start, count):

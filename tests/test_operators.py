@@ -13,8 +13,8 @@ from shoplens.functions import events as E
 from shoplens.functions import text, vectors as V
 from shoplens.functions.experiments import variant
 from shoplens.operators import (catalog, complements, content, cooccurrence, evaluation, experiments,
-                                interactions as I, items as IT, metrics, neighbours, profiles)
-from shoplens.operators.ranking import head_list, spread_rank, top_k
+                                interactions as I, items as IT, listing, metrics, neighbours, profiles)
+from shoplens.operators.ranking import head_list, top_k
 from shoplens.operators.skew import heavy_keys, salted_join, split_join
 from shoplens.sources import contract, keyed, lake
 
@@ -104,13 +104,6 @@ def test_skew_joins_equal_the_plain_join(spark, how):
     assert rows(salted_join(big, small, "k", heavy, how, 5).select("k", "v", "d"), "v") == plain
 
 
-def test_spread_rank_equals_a_window(spark):
-    from pyspark.sql import Window
-    df = spark.createDataFrame([("g" if i % 5 else "h", float(i * 37 % 23), i) for i in range(300)], "g string, s double, i int")
-    plain = df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("s"), "i")))
-    assert rows(spread_rank(df, "g", "s", ["i"], 7).select("g", "s", "i", "rank"), "i") == rows(plain, "i")
-
-
 def test_head_list_keeps_the_order(spark):
     df = spark.createDataFrame([(i, float(i % 4)) for i in range(20)], "i int, s double")
     assert spark.range(1).select(head_list(df, [F.desc("s"), "i"], 4, "i").alias("h")).first().h == [3, 7, 11, 15]
@@ -276,14 +269,45 @@ def test_missing_evaluation_report_is_empty(spark, tmp_path):
     assert evaluation.latest_report(spark, str(tmp_path / "nothing")).count() == 0
 
 
+LISTED = ("item_id int, brand string, category_code string, category_id bigint, price double, views bigint, carts bigint, "
+          "purchases bigint, unique_users bigint, popularity_score double, conversion_rate double, root string")
+
+
 def test_listing_needs_every_term(spark):
-    items = spark.createDataFrame([(i, "sony", "tv.oled" if i % 2 else "tv.lcd", 1, 9.0, 0, 0, 0, 1, float(i), 0.0, "tv") for i in range(9)],
-                                  "item_id int, brand string, category_code string, category_id bigint, price double, views bigint, carts bigint, "
-                                  "purchases bigint, unique_users bigint, popularity_score double, conversion_rate double, root string")
-    page = catalog.listing(catalog.search_index(items), "tv", "OLED sony", 1, 2).orderBy("position").collect()
+    items = spark.createDataFrame([(i, "sony", "tv.oled" if i % 2 else "tv.lcd", 1, 9.0, 0, 0, 0, 1, float(i), 0.0, "tv") for i in range(9)], LISTED)
+    page = listing.listing(items, listing.trigram_postings(items), "tv", "OLED sony", 1, 2).orderBy("position").collect()
     assert [(r.item_id, r.total) for r in page] == [(5, 4), (3, 4)]
 
 
+@pytest.mark.parametrize("block_items", [3, 4096])
+def test_search_equals_a_scan(spark, block_items):
+    import random
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randint(1, 4)))
+    rows_ = [(i, rng.choice([None, word(), "Äbc"]), rng.choice([None, "", f"{word()}.{word()}"]), 1, 1.0, 0, 0, 0, 1, rng.choice([None, 1.0, 2.0]), 0.0, "x")
+             for i in range(120)]
+    items = spark.createDataFrame(rows_, LISTED).cache()
+    postings = listing.trigram_postings(items, block_items).cache()
+    public = {r.item_id: f"{r.name} {r.category_code or ''} {r.item_id}".lower() for r in catalog.public_view(items).collect()}
+    for query in ("a", "ab", "abc", "b c", "abca 1", "bb cab", ".", " ", None, "zzz", "äb", "%", "unbranded prod"):
+        got = {r.item_id for r in listing.matching(items, postings, query=query).collect()}
+        assert got == {i for i, hay in public.items() if all(t in hay for t in (query or "").lower().split())}, query
+
+
+def test_pages_by_key_walk_the_whole_listing(spark):
+    items = spark.createDataFrame([(i, "b", "c", 1, 1.0, 0, 0, 0, 1, [None, 2.0, 2.0, 5.0][i % 4], 0.0, "c") for i in range(50)], LISTED)
+    rows_ = listing.matching(items, listing.trigram_postings(items), "c").cache()
+    whole = [r.item_id for r in rows_.orderBy(*catalog.by_popularity()).collect()]
+    walked, after = [], None
+    while True:
+        page = listing.page(rows_, 7, after).collect()
+        if not page:
+            break
+        walked += [r.item_id for r in page]
+        after = (page[-1].popularity_score or 0.0, page[-1].item_id)
+    assert walked == whole and len(whole) == 50
+
+
 def test_run_summary_counts(spark, shop):
     row = metrics.run_summary(shop, I.matrix_of(shop)).first()
     assert (row.events, row.users, row.sessions, row.cold_start_users) == (68, 5, 6, 4)

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from shoplens import config
 from shoplens.operators.rerank import rerank, variety
-from shoplens.operators.rerank.candidates import complement_categories
-from shoplens.operators.catalog import search_index
+from shoplens.operators.rerank.candidates import complement_categories, open_candidates, popular_in_category
+from shoplens.operators import profiles
 from shoplens.sources.lake import overwrite
 
 ITEMS = ("item_id int, brand string, category_code string, category_id bigint, price double, popularity_score double, "
@@ -38,10 +38,10 @@ def staged(spark):
     return lambda df, name: overwrite(df, f"{folder}/{name}")
 
 
-def run(spark, items, requests, users=(), lists=(), sessions=(), complements=()):
+def run(spark, items, requests, users=(), lists=(), sessions=(), complements=(), known=None):
     table = lambda rows, ddl: spark.createDataFrame(list(rows), ddl)
     return rerank(table(requests, REQUESTS), table(items, ITEMS), table(users, USERS), table(lists, LISTS),
-                  table(sessions, SESSIONS), table(complements, COMPLEMENTS), staged(spark))
+                  table(sessions, SESSIONS), table(complements, COMPLEMENTS), staged(spark), known)
 
 
 def by_item(result, request="r"):
@@ -145,7 +145,7 @@ def test_department_tops_up_missing_complements(spark):
     items = spark.createDataFrame([thing(i, code, popularity=p) for i, (code, p) in enumerate(codes)], ITEMS) \
         .withColumn("root", F.split_part("category_code", F.lit("."), F.lit(1)))
     learned = spark.createDataFrame([("home.a", 1, "home.c", 0.5, 2)], COMPLEMENTS)
-    rows = complement_categories(items.select("category_code"), learned, search_index(items))
+    rows = complement_categories(items.select("category_code"), learned, items)
     got = {r.category_code: [(c.category, c.kind, c.value) for c in r.complements] for r in rows.collect()}
     assert got["home.a"] == [("home.c", "learned", 1.0), ("home.b", "department", 0.3), ("home.d", "department", 0.3)]
     assert [c for c, _, _ in got["home.b"]] == ["home.c", "home.a", "home.d"]
@@ -192,3 +192,52 @@ def test_changed_positions(spark):
     before = spark.createDataFrame([("r", 1, 10), ("r", 2, 20), ("r", 3, 30)], ddl)
     after = spark.createDataFrame([("r", 1, 10), ("r", 2, 30), ("r", 3, 20), ("r", 4, 40)], ddl)
     assert variety.changed_positions(before, after).first().changed == 3
+
+
+def _history(spark, sizes, step=2):
+    pairs = [(user, step * i, 1.0) for user, n in sizes.items() for i in range(n)]
+    return spark.createDataFrame(pairs, "user_id int, item_id int, interaction_score double")
+
+
+@pytest.mark.parametrize("block", [7, 2048])
+def test_no_known_item_is_offered_to_a_user_with_500(spark, block):
+    matrix = _history(spark, {5: 500, 6: 200, 7: 3})
+    seen = {r.user_id: r.s for r in profiles.seen(matrix).groupBy("user_id").agg(F.sort_array(F.collect_list("item_id")).alias("s")).collect()}
+    assert len(seen[5]) == config.SEEN_ITEMS
+    users = [(u, None, None, None, None, None, seen[u]) for u in (5, 6, 7)] + [(8, None, None, None, None, None, None)]
+    lists = [(u, [(i, 0.5) for i in range(380, 440)], "als") for u in (5, 6, 7, 8)]
+    known = profiles.known_blocks(matrix, size=block)
+    assert {r.user_id for r in known.collect()} == {5} and max(len(r["items"]) for r in known.collect()) <= block
+    result = run(spark, [thing(i, f"c{i}") for i in range(380, 440)], [(f"r{u}", u, None, 60) for u in (5, 6, 7, 8)], users, lists, known=known)
+    shown = {u: set(by_item(result, f"r{u}")) for u in (5, 6, 7, 8)}
+    assert shown[5] == {i for i in range(380, 440) if i % 2}
+    assert shown[6] == {i for i in range(380, 440) if i % 2 or i >= 400}
+    assert shown[7] == shown[8] == set(range(380, 440))
+
+
+def test_known_blocks_are_sorted_and_whole(spark):
+    blocks = profiles.known_blocks(_history(spark, {1: 1000, 2: 201, 3: 200}, 3), size=64).orderBy("user_id", "low").collect()
+    assert [i for r in blocks if r.user_id == 1 for i in r["items"]] == [3 * i for i in range(1000)]
+    assert all(r.low == r["items"][0] and r.high == r["items"][-1] for r in blocks) and {r.user_id for r in blocks} == {1, 2}
+    assert profiles.known_blocks(_history(spark, {3: 5}), size=64).count() == 0
+
+
+def test_category_lists_read_the_whole_catalog(spark):
+    items = spark.range(12_000).select(
+        F.col("id").cast("int").alias("item_id"), F.when(F.col("id") < 11_990, "big.one").otherwise("small.one").alias("category_code"),
+        F.lit(1).cast("long").alias("category_id"), (12_000.0 - F.col("id")).alias("popularity_score"), F.lit("x").alias("brand"))
+    got = popular_in_category(items, "category_code", 3).collect()
+    assert {(r.category_code, r["rank"], r.item_id) for r in got} == {
+        ("big.one", 1, 0), ("big.one", 2, 1), ("big.one", 3, 2), ("small.one", 1, 11_990), ("small.one", 2, 11_991), ("small.one", 3, 11_992)}
+    plan = popular_in_category(items, "category_code", 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_page_of_an_item_beyond_the_popular_head(spark, monkeypatch):
+    """Department complements and category lists of items that are nowhere near the most popular ones."""
+    monkeypatch.setattr(config, "POPULAR_HEAD", 3)
+    items = [thing(i, "big.shelf", popularity=100.0 + i) for i in range(1, 6)] \
+        + [thing(20, "rare.a", popularity=1.0), thing(21, "rare.a", popularity=0.5), thing(22, "rare.b", popularity=0.4)]
+    found = by_item(run(spark, items, [("r", None, 20, 9)]))
+    assert found[21][0].source == "category" and found[22][0].source == "complement"
+    assert found[22][1]["complement"] == config.DEPARTMENT_VALUE
