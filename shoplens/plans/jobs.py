@@ -120,6 +120,26 @@ def user_docs(ws):
     return profiles.user_docs(weighted(ws), ws.table("interaction_matrix"), ws.table("item_tfidf"), factors)
 
 
+@job
+def als_item_docs(ws):
+    """As item_docs, with the fitted model's factors and the neighbours in its space."""
+    return catalog.item_docs(weighted(ws), ws.table("interaction_matrix"), ws.table("item_tfidf"), factorization.item_factors(ws.model("als")))
+
+
+@job
+def als_user_docs(ws):
+    rounded = factorization.user_factors(ws.model("als")).withColumn("factors", F.transform("factors", lambda x: F.round(x.cast("double"), 5)))
+    return profiles.user_docs(weighted(ws), ws.table("interaction_matrix"), ws.table("item_tfidf"), rounded)
+
+
+@job
+def als_prepared_requests(ws):
+    """As prepared_requests, served by the fitted model: its documents, and its lists where content has none."""
+    live = session_docs(session_rows(ws.table("sessions"), ws.table("als_item_docs"), ws.table("popular_head").select("item_id")))
+    return rerank.prepared_requests(ws.table("requests"), ws.table("als_item_docs"), ws.table("als_user_docs"), ws.table("routed_lists"),
+                                    ws.stage(live, "als_session_features"), ws.table("category_complements"), ws.table("popular_head"))
+
+
 @job
 def sessions(ws):
     return last_sessions(ws.table("events"))

@@ -1,5 +1,8 @@
 """Registered queries over the driver's tables."""
 
+from functools import reduce
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shoplens import config
@@ -314,11 +317,11 @@ def catalog_listing(spark, d):
 
 
 @query("catalog_search", f"""SELECT item_id, name FROM (SELECT item_id, {NAME} AS name, lower({NAME} || ' ' || coalesce(category_code, '') || ' '
-    || CAST(item_id AS VARCHAR)) AS hay FROM items) WHERE contains(hay, 'el') AND contains(hay, '7') AND contains(hay, 'brand#')""")
+    || CAST(item_id AS VARCHAR)) AS hay FROM items) WHERE contains(hay, 'an') AND contains(hay, '7') AND contains(hay, 'brand#')""")
 def catalog_search(spark, d):
     """Everything that holds three terms, two of them shorter than a trigram."""
     ws = workspace(spark, d)
-    return listing.matching(ws.table("item_docs"), ws.table("trigram_postings"), query="7 el Brand#").select("item_id", "name")
+    return listing.matching(ws.table("item_docs"), ws.table("trigram_postings"), query="7 an Brand#").select("item_id", "name")
 
 
 # --- evaluation -------------------------------------------------------------------------------
@@ -500,6 +503,14 @@ def cold_start_history(spark, d):
     return sanity.cold_history_rows(behaviour_events(spark, d), users)
 
 
+@query("cold_start_recommended", f"""SELECT user_id, CAST(rank AS INT) AS rank, item_id, coalesce(code, 'cid:' || CAST(cid AS VARCHAR)) || ' | ' ||
+    coalesce(basics.brand, '-') AS label, {settled('score', 6)} AS score, (user_id, code) IN (SELECT (user_id, code) FROM samplecodes) AND code IS NOT NULL
+    AS known_category FROM content JOIN basics USING (item_id) WHERE rank <= 10 AND user_id IN (SELECT user_id FROM sample)""")
+def cold_start_recommended(spark, d):
+    users = sanity.sample_users(_content(spark, d).select("user_id").distinct())
+    return sanity.recommended_rows(behaviour_events(spark, d), _content(spark, d), users).withColumn("score", r6("score"))
+
+
 # --- embedding neighbours, routing ------------------------------------------------------------------
 
 @query("vector_norms", """SELECT CAST(vec_id AS INT) AS item_id, round(sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 6) AS norm,
@@ -904,10 +915,23 @@ def evaluation_report(spark, d):
     return _rounded_metrics(evaluation.latest_report(spark, path))
 
 
-@query("run_settings")
+def _settings_sql():
+    shown = {**{f"weight {k}": v for k, v in (("purchase", 5), ("cart", 3), ("view", 1), ("remove_from_cart", 0))},
+             "half_life_days": 14, "top_n": 20, "candidate_pool": 2000, "als rank": 20, "als maxIter": 15, "als regParam": 0.1}
+    return " UNION ALL ".join(f"SELECT '{k}' AS setting, '{v}' AS value" for k, v in shown.items())
+
+
+@query("run_settings", _settings_sql() + " UNION ALL SELECT 'events', CAST(count(*) AS VARCHAR) FROM ev")
 def run_settings(spark, d):
+    """What a run was made with, one setting a row."""
     ws = workspace(spark, d)
-    return metrics.run_settings(metrics.run_summary(ws.table("events"), ws.table("interaction_matrix")))
+    run = metrics.run_settings(metrics.run_summary(ws.table("events"), ws.table("interaction_matrix")))
+    weights = F.transform(F.map_entries("event_weights"), lambda e: F.struct(F.concat(F.lit("weight "), e["key"]).alias("setting"), e["value"].cast("string").alias("value")))
+    fit = F.filter(F.transform(F.map_entries("als"), lambda e: F.struct(F.concat(F.lit("als "), e["key"]).alias("setting"), e["value"].alias("value"))),
+                   lambda e: e["setting"].isin("als rank", "als maxIter", "als regParam"))
+    single = F.array(*[F.struct(F.lit(c).alias("setting"), F.col(c).cast("string").alias("value"))
+                       for c in ("half_life_days", "top_n", "candidate_pool", "events")])
+    return run.select(F.explode(F.concat(weights, fit, single)).alias("s")).select("s.setting", "s.value")
 
 
 # --- factor model (results depend on floating point: rows only) -----------------------------------------
@@ -948,10 +972,79 @@ def als_routed_lists(spark, d):
     return workspace(spark, d).table("routed_lists").select("user_id", "source", F.size("recommendations").alias("items"))
 
 
+MISS = 0.02  # of the right side; factors are stored as floats and the solver stops at a relative error
+
+
+@query("als_invariants", """SELECT 'users with factors' AS fact, count(DISTINCT user_id) AS value FROM train
+    UNION ALL SELECT 'items with factors', count(DISTINCT item_id) FROM train
+    UNION ALL SELECT 'users off their equations', 0 UNION ALL SELECT 'saved factors that differ', 0
+    UNION ALL SELECT 'listed items', count(DISTINCT user_id) * least(20, count(DISTINCT item_id)) FROM train
+    UNION ALL SELECT 'listed items out of order', 0
+    UNION ALL SELECT 'unseen items', CAST(sum(least(20, (SELECT count(DISTINCT item_id) FROM train) - n)) AS BIGINT) FROM
+      (SELECT user_id, count(*) AS n FROM train WHERE user_id IN (SELECT user_id FROM eusers) GROUP BY user_id)
+    UNION ALL SELECT 'unseen items that are known', 0
+    UNION ALL SELECT 'predicted pairs', count(*) FROM test WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)
+    UNION ALL SELECT 'identical predictions', 0
+    UNION ALL SELECT 'routed users', count(*) FROM (SELECT user_id FROM train UNION SELECT user_id FROM content)
+    UNION ALL SELECT 'neighbours with a score outside 0 to 1', 0
+    UNION ALL SELECT 'sampled users', least(5, count(*)) FROM counts WHERE n >= 10""")
+def als_invariants(spark, d):
+    """Facts that hold for every right fit and every right list, whatever the floats."""
+    ws = workspace(spark, d)
+    model, (train, test) = ws.model("als"), jobs.train_test(ws)
+    users, _ = evaluation.evaluable(train, test)
+    listed, unseen = factorization.exploded(ws.table("als_lists")), ws.stage(factorization.unseen_recommendations(model, users, train, config.TOP_N), "unseen")
+    by_rank = Window.partitionBy("user_id").orderBy("rank")
+    falls = lambda df: df.withColumn("before", F.lag("score").over(by_rank)).where(F.col("before") < F.col("score"))
+    reloaded = factorization.load(ws.path("models/als"))
+    near = neighbours.similar_items(factorization.item_factors(model), ws.table("item_features"), ws.table("interaction_matrix"))
+    facts = {
+        "users with factors": factorization.user_factors(model), "items with factors": factorization.item_factors(model),
+        "users off their equations": factorization.normal_equations(model, train).where(F.col("miss") > MISS),
+        "saved factors that differ": factorization.item_factors(reloaded).exceptAll(factorization.item_factors(model)),
+        "listed items": listed, "listed items out of order": falls(listed), "unseen items": unseen,
+        "unseen items that are known": unseen.join(train, ["user_id", "item_id"], "left_semi"),
+        "predicted pairs": factorization.predictions(model, test),
+        "identical predictions": factorization.prediction_summary(factorization.predictions(model, test)).where("identical"),
+        "routed users": ws.table("routed_lists"), "neighbours with a score outside 0 to 1": near.where(~F.col("score").between(0, 1)),
+        "sampled users": sanity.sample_users(sanity.active_users(ws.table("events")))}
+    rows = [df.agg(F.count("*").alias("value")).select(F.lit(fact).alias("fact"), "value") for fact, df in facts.items()]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
+@query("als_reranked")
+def als_reranked(spark, d):
+    """The re-ranker served by the fitted model: its factors in items and users, its lists, its neighbours."""
+    ws = workspace(spark, d)
+    values = RF.with_factors(ws.table("als_prepared_requests"), ws.table("als_item_docs"), ws.table("popular_head").select("item_id"), ws.table("known_blocks"))
+    return RF.explained(RV.diversify(RF.with_scores(values))).select(
+        "request_id", "position", "item_id", "source", "score", "same_category_before", "multiplier", "rank_score", "als_prediction")
+
+
+@query("als_reranked_facts", """SELECT 'requests' AS fact, count(*) AS value FROM req UNION ALL SELECT 'places beyond the limit', 0
+    UNION ALL SELECT 'known items shown', 0 UNION ALL SELECT 'rows out of order', 0
+    UNION ALL SELECT 'predictions of users without factors', 0 UNION ALL SELECT 'requests without any prediction', count(*) FROM req
+      WHERE user_id NOT IN (SELECT user_id FROM train)""")
+def als_reranked_facts(spark, d):
+    """What holds for every page, whatever the model's floats."""
+    ws = workspace(spark, d)
+    shown = ws.stage(als_reranked(spark, d), "als_reranked").join(ws.table("requests").select("request_id", "user_id", "limit"), "request_id")
+    by_place = Window.partitionBy("request_id").orderBy("position")
+    fitted = factorization.user_factors(ws.model("als")).select("user_id")
+    facts = {
+        "requests": shown.select("request_id").distinct(), "places beyond the limit": shown.where(F.col("position") > F.col("limit")),
+        "known items shown": shown.join(ws.table("interaction_matrix"), ["user_id", "item_id"], "left_semi"),
+        "rows out of order": shown.withColumn("before", F.lag("rank_score").over(by_place)).where(F.col("before") < F.col("rank_score")),
+        "predictions of users without factors": shown.where(F.col("als_prediction").isNotNull()).join(fitted, "user_id", "left_anti"),
+        "requests without any prediction": shown.groupBy("request_id").agg(F.max("als_prediction").alias("p")).where(F.col("p").isNull())}
+    rows = [df.agg(F.count("*").alias("value")).select(F.lit(fact).alias("fact"), "value") for fact, df in facts.items()]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
 @query("als_sanity_report")
 def als_sanity_report(spark, d):
     ws = workspace(spark, d)
     events = ws.table("events")
     users = sanity.sample_users(sanity.active_users(events))
-    lists = factorization.exploded(ws.model("als").recommendForUserSubset(users, 10))
+    lists = factorization.exploded(factorization.top_n(ws.model("als"), 10, users))
     return sanity.factor_report(events, lists, users)
