@@ -27,19 +27,23 @@ def top_roots(events, k=10):
 
 
 def run_summary(events, matrix, recommended=None):
-    """One row of totals. Each distinct count is its own two-step aggregation."""
-    users = _one(events.select("user_id").distinct(), F.count("*"))
-    items = _one(events.select("item_id").distinct(), F.count("*"))
-    sessions = _one(events.select("session_id").distinct(), F.count("*"))
-    cold = _one(events.groupBy("user_id").agg(F.count("*").alias("n"))
-                .where(F.col("n") <= config.COLD_START_MAX_EVENTS), F.count("*"))
-    pairs = _one(matrix, F.count("*"))
-    base = events.agg(F.count("*").alias("events"), E.minute_text(F.min("timestamp")).alias("start"),
-                      E.minute_text(F.max("timestamp")).alias("end"))
-    row = base.select(
-        "*", users.alias("users"), items.alias("items"), pairs.alias("interaction_pairs"),
-        sessions.alias("sessions"), cold.alias("cold_start_users"),
-        F.lit(config.COLD_START_MAX_EVENTS).alias("cold_start_threshold"))
+    """One row of totals from one scan of the events.
+
+    An event counts for three keys, its user, item and session, each with a mark of its kind. Grouping by kind and key
+    (partly before anything moves) leaves every key once; counting them by kind gives all distinct counts, and the
+    users' numbers of events are there for the cold ones.
+    """
+    key = lambda kind, column: F.struct(F.lit(kind).alias("kind"), F.col(column).cast("string").alias("key"))
+    marked = events.select("timestamp", F.explode(F.array(key("user", "user_id"), key("item", "item_id"), key("session", "session_id"))).alias("k"))
+    once = marked.groupBy("k.kind", "k.key").agg(F.count("*").alias("n"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
+    kind = lambda name: (F.col("kind") == name) & F.col("key").isNotNull()
+    base = once.agg(
+        F.coalesce(F.sum(F.when(F.col("kind") == "user", F.col("n"))), F.lit(0)).alias("events"), E.minute_text(F.min("first")).alias("start"),
+        E.minute_text(F.max("last")).alias("end"), F.count_if(kind("user")).alias("users"), F.count_if(kind("item")).alias("items"),
+        F.count_if(kind("session")).alias("sessions"),
+        F.count_if(kind("user") & (F.col("n") <= config.COLD_START_MAX_EVENTS)).alias("cold_start_users"))
+    row = base.select("*", _one(matrix, F.count("*")).alias("interaction_pairs"),
+                      F.lit(config.COLD_START_MAX_EVENTS).alias("cold_start_threshold"))
     row = row.withColumn("matrix_density", F.round(
         F.col("interaction_pairs") / F.greatest(F.col("users") * F.col("items"), F.lit(1)), 6))
     if recommended is None:

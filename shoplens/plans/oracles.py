@@ -66,8 +66,7 @@ CTES = {
           WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = eusers.user_id AND t.item_id = p.item_id))
         WHERE rank <= {K}""",
     "sess": """SELECT session_id, item_id, max(w) AS w FROM wt GROUP BY ALL HAVING max(w) > 0""",
-    "elig": f"""SELECT * FROM sess WHERE session_id IN (SELECT session_id FROM sess GROUP BY session_id
-        HAVING count(*) BETWEEN 2 AND {config.MAX_SESSION_ITEMS})""",
+    "elig": """SELECT * FROM sess WHERE session_id IN (SELECT session_id FROM sess GROUP BY session_id HAVING count(*) > 1)""",
     "also": f"""SELECT * FROM (SELECT item_id, other_id, score, sessions,
             row_number() OVER (PARTITION BY item_id ORDER BY score DESC, other_id) AS rank FROM (
           SELECT p.item_id, p.other_id, round(p.w / sqrt(a.total * b.total), 10) AS score, p.sessions FROM (

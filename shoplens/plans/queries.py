@@ -244,6 +244,28 @@ def bought_together(spark, d):
     return cooccurrence.bought_together(_weighted(spark, d))
 
 
+@query("sessions_left_out", f"""SELECT count(*) AS sessions, CAST(coalesce(sum(n), 0) AS BIGINT) AS items, CAST(coalesce(sum(n * (n - 1) // 2), 0) AS BIGINT) AS pairs
+    FROM (SELECT session_id, count(*) AS n FROM sess GROUP BY session_id HAVING count(*) > 5)""")
+def sessions_left_out(spark, d):
+    """What a cut of sessions at five items would leave out."""
+    return cooccurrence.left_out(_weighted(spark, d), 5)
+
+
+@query("bought_together_short", """SELECT item_id, CAST(rank AS INT) AS rank, other_id, CAST(round(CAST(score AS DECIMAL(24, 10)), 4) AS DOUBLE) AS score, sessions FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, other_id) AS rank FROM (
+      SELECT p.item_id, p.other_id, round(p.w / sqrt(a.total * b.total), 10) AS score, p.sessions FROM (
+        SELECT x.item_id, y.item_id AS other_id, sum(least(x.w, y.w)) AS w, count(*) AS sessions FROM sess x JOIN sess y
+          ON x.session_id = y.session_id AND x.item_id <> y.item_id WHERE x.session_id IN (SELECT session_id FROM sess GROUP BY session_id
+            HAVING count(*) BETWEEN 2 AND 5) GROUP BY ALL) p
+      JOIN (SELECT item_id, sum(w) AS total FROM sess WHERE session_id IN (SELECT session_id FROM sess GROUP BY session_id
+        HAVING count(*) BETWEEN 2 AND 5) GROUP BY item_id) a ON a.item_id = p.item_id
+      JOIN (SELECT item_id, sum(w) AS total FROM sess WHERE session_id IN (SELECT session_id FROM sess GROUP BY session_id
+        HAVING count(*) BETWEEN 2 AND 5) GROUP BY item_id) b ON b.item_id = p.other_id)) WHERE rank <= 12""")
+def bought_together_short(spark, d):
+    """Partners from sessions of at most five items: the cut as a parameter."""
+    return cooccurrence.bought_together(_weighted(spark, d), max_items=5)
+
+
 @query("category_shared_users", """SELECT x.category_code AS category_a, y.category_code AS category_b, count(*) AS users FROM ucat x
     JOIN ucat y ON x.user_id = y.user_id AND x.category_code < y.category_code GROUP BY ALL HAVING count(*) >= 2""")
 def category_shared_users(spark, d):

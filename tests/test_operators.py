@@ -70,11 +70,29 @@ def test_tfidf_against_a_loop(spark, shop):
     assert len(got) == sum(map(len, tokens.values()))
 
 
-def test_long_sessions_are_left_out_whole(spark, shop):
-    kept = {r.session_id for r in cooccurrence.eligible_session_items(I.weigh(shop)).collect()}
+def test_a_cut_of_sessions_is_a_parameter_and_is_counted(spark, shop):
+    weighted = I.weigh(shop)
+    kept = {r.session_id for r in cooccurrence.eligible_session_items(weighted, 50).collect()}
     assert kept == {"s1", "s2"}
-    pairs = {(r.item_id, r.other_id): (r.score, r.sessions) for r in cooccurrence.scored_pairs(I.weigh(shop)).collect()}
-    assert pairs[(1, 2)] == pairs[(2, 1)] == (pytest.approx(2 / math.sqrt(2 * 8), abs=1e-9), 2)
+    assert {r.session_id for r in cooccurrence.eligible_session_items(weighted).collect()} == {"s1", "s2", "bot"}
+    assert tuple(cooccurrence.left_out(weighted, 50).first()) == (1, 60, 60 * 59 // 2)
+    assert tuple(cooccurrence.left_out(weighted, 60).first()) == (0, 0, 0)
+    for cut in (50, None):
+        pairs = {(r.item_id, r.other_id): (r.score, r.sessions) for r in cooccurrence.scored_pairs(weighted, cut).collect()}
+        assert pairs[(1, 2)] == pairs[(2, 1)] == (pytest.approx(2 / math.sqrt(2 * 8), abs=1e-9), 2)
+    assert len(pairs) == 2 + 60 * 59
+
+
+@pytest.mark.parametrize("block", [1, 3, 64, 1000])
+def test_pairs_of_long_sessions_do_not_depend_on_the_block(spark, block):
+    import random
+    rng = random.Random(block)
+    sessions = {"long": rng.sample(range(500), 130), "short": [3, 9], "one": [4]}
+    data = [(s, i, rng.choice([1, 3, 5]), len(own)) for s, own in sessions.items() for i in own]
+    weight = {(s, i): w for s, i, w, _ in data}
+    expected = sorted((a, b, min(weight[s, a], weight[s, b])) for s, own in sessions.items() for a, b in itertools.combinations(sorted(own), 2))
+    got = cooccurrence.session_pairs(spark.createDataFrame(data, "session_id string, item_id int, w int, n long"), block)
+    assert sorted(map(tuple, got.collect())) == expected
 
 
 @pytest.mark.parametrize("block", [1, 2, 3, 128])
@@ -143,7 +161,8 @@ def test_content_never_repeats_history_and_caps_brands(spark):
     assert [i < 8 for i in got] == [True] * 3 + [False] * 4 + [True]
 
 
-def test_neighbours_against_a_loop(spark):
+@pytest.mark.parametrize("item_block,pool_block", [(8192, 2048), (5, 3)])
+def test_neighbours_against_a_loop(spark, item_block, pool_block):
     import random
     rng = random.Random(11)
     data = {i: [rng.uniform(-1, 1) for _ in range(6)] for i in range(30)}
@@ -153,7 +172,7 @@ def test_neighbours_against_a_loop(spark):
     units = neighbours.unit_vectors(factors)
     pool = units.where("item_id % 2 = 0")
     got = {}
-    for r in neighbours.nearest(units, pool, 4).orderBy("item_id", "rank").collect():
+    for r in neighbours.nearest(units, pool, 4, item_block, pool_block).orderBy("item_id", "rank").collect():
         got.setdefault(r.item_id, []).append(r.other_id)
     length = lambda v: math.sqrt(sum(x * x for x in v))
     for i, v in data.items():
@@ -308,6 +327,17 @@ def test_pages_by_key_walk_the_whole_listing(spark):
     assert walked == whole and len(whole) == 50
 
 
+def test_user_stats_and_summary_read_the_events_once(spark, shop):
+    stats = {r.user_id: r for r in profiles.user_stats(shop).collect()}
+    assert (stats[1].n_events, stats[1].n_items, stats[1].n_sessions, stats[1].avg_price) == (3, 2, 2, 18.33)
+    assert (stats[50].n_events, stats[50].n_items, stats[50].n_sessions, stats[50].segment) == (60, 60, 1, "warm")
+    odd = make_events(spark, [(0, "view", 1, None, None, None, 1, None), (1, "gift", 1, None, None, 2.0, 1, "s")])
+    row = profiles.user_stats(odd).first()
+    assert (row.n_events, row.views, row.n_items, row.n_sessions, row.avg_price) == (2, 1, 1, 1, 2.0)
+    plan = profiles.user_stats(odd)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+
+
 def test_run_summary_counts(spark, shop):
     row = metrics.run_summary(shop, I.matrix_of(shop)).first()
     assert (row.events, row.users, row.sessions, row.cold_start_users) == (68, 5, 6, 4)
