@@ -10,7 +10,7 @@ import sys
 import time
 
 from shoplens.plans.queries import QUERIES
-from shoplens.plans.workspace import Workspace
+from shoplens.plans.workspace import workspace
 from shoplens.session import build_session, pin_utc
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -29,9 +29,7 @@ def main():
         "spark.sql.shuffle.partitions": CPUS, "spark.driver.memory": "20g", "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false"}))
     spark.sparkContext.setLogLevel("ERROR")
-    from shoplens.plans import workspace as registry
-    ws = Workspace(spark, SF_DIR)
-    registry._OPEN[(spark.sparkContext.applicationId, SF_DIR)] = ws
+    ws = workspace(spark, SF_DIR)
     times = {}
 
     def timed(name, action):

@@ -16,7 +16,7 @@ from shoplens.operators import factorization, neighbours, routing
 from shoplens.operators.rerank import candidates as RC, context as RX, factors as RF, variety as RV, views
 from shoplens.plans import jobs
 from shoplens.plans.workspace import workspace
-from shoplens.sources import contract, keyed, lake
+from shoplens.sources import contract, documents, keyed, lake
 from shoplens.sources.tables import behaviour_events, table
 from shoplens.streaming import features as SF, ingest, sessions as SS
 
@@ -749,8 +749,8 @@ def _contract_view(df):
 @query("csv_source", _CONTRACT_SQL)
 def csv_source(spark, d):
     ws = workspace(spark, d)
-    path = ws.path("events_csv")
-    ws.table("events").write.mode("overwrite").option("header", True).csv(path)
+    path = _fresh(ws, "events_csv")
+    ws.table("events").write.option("header", True).csv(path)
     return _contract_view(contract.read_csv(spark, path))
 
 
@@ -808,22 +808,18 @@ def _lake_view(df):
 @query("lake_scan", _LAKE_SQL)
 def lake_scan(spark, d):
     ws = workspace(spark, d)
-    lake.write(behaviour_events(spark, d), ws.path("lake"), "overwrite")
-    return _lake_view(lake.read(spark, ws.path("lake")))
+    path = _fresh(ws, "lake")
+    lake.write(behaviour_events(spark, d), path)
+    return _lake_view(lake.read(spark, path))
 
 
 def _wire_folder(ws):
-    path = ws.path("wire")
-    if "wire" not in ws._tables:
-        contract.to_messages(ws.table("events")).select("value").write.mode("overwrite").text(path)
-        ws._tables["wire"] = path
-    return path
+    return ws.folder("wire", lambda path: contract.to_messages(ws.table("events")).select("value").write.text(path))
 
 
 def _fresh(ws, name):
-    """A new folder per call: a stream's checkpoint belongs to one run."""
-    ws.runs = getattr(ws, "runs", 0) + 1
-    return ws.path(f"{name}/{ws.runs}")
+    """A new folder per call: a stream's checkpoint belongs to one run, and nothing that is read is overwritten."""
+    return ws.fresh(name)
 
 
 @query("stream_to_lake", _LAKE_SQL)
@@ -835,6 +831,33 @@ def stream_to_lake(spark, d):
     return _lake_view(lake.read(spark, f"{run}/lake"))
 
 
+def _broken_folder(ws):
+    """Messages of the click table: other event types, no item, no price, and lines that are no message."""
+    raw = table(ws.spark, ws.source, "events")
+    fields = {"timestamp": F.col("ts").cast("string"), "event_type": F.col("event_type"),
+              "item_id": F.when(F.col("event_id") % 5 != 0, F.get_json_object("props", "$.k").cast("int")),
+              "price": F.when(F.col("event_id") % 7 != 0, F.col("value")).otherwise(-F.col("value")), "user_id": F.col("user_id").cast("int"),
+              "session_id": F.concat(F.lit("s"), F.col("user_id").cast("string"))}
+    text = F.when(F.col("event_id") % 11 == 0, F.lit("no message")).otherwise(F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])))
+    return ws.folder("broken_wire", lambda path: raw.select(text.alias("value")).write.text(path))
+
+
+_BROKEN_SQL = """(SELECT *, CASE WHEN event_id % 11 = 0 THEN 'unreadable message' WHEN event_type IS NULL THEN 'missing event_type'
+    WHEN event_id % 5 = 0 OR json_extract_string(props, '$.k') IS NULL THEN 'missing item_id' WHEN value IS NULL THEN 'missing price'
+    WHEN user_id IS NULL THEN 'missing user_id' WHEN event_type NOT IN ('purchase', 'cart', 'view', 'remove_from_cart') THEN 'unknown event_type'
+    WHEN NOT (CASE WHEN event_id % 7 <> 0 THEN value ELSE -value END > 0) THEN 'price not positive' END AS reason FROM events)"""
+
+
+@query("stream_rejects", f"""SELECT coalesce(reason, 'in the lake') AS reason, count(*) AS messages FROM {_BROKEN_SQL} GROUP BY ALL""")
+def stream_rejects(spark, d):
+    """Where each message of a stream went: into the lake, or to the dead letters with a reason."""
+    ws = workspace(spark, d)
+    run = _fresh(ws, "stream_rejects")
+    ingest.to_lake(ingest.file_messages(spark, _broken_folder(ws), 4), f"{run}/lake", f"{run}/checkpoint", True, f"{run}/rejects").awaitTermination()
+    taken = lake.read(spark, f"{run}/lake").select(F.lit("in the lake").alias("reason"))
+    return taken.unionByName(ingest.dead_letters(spark, f"{run}/rejects").select("reason")).groupBy("reason").agg(F.count("*").alias("messages"))
+
+
 _LIVE_SQL = "SELECT user_id, CAST(pos AS INT) AS position, item_id, event_type, strftime(timestamp, '%Y-%m-%d %H:%M') AS at FROM live"
 
 
@@ -893,7 +916,9 @@ def content_list_scores(spark, d):
     popularity_score, (SELECT count(*) FROM tokw t WHERE t.item_id = items.item_id) AS tokens FROM items""")
 def item_documents(spark, d):
     ws = workspace(spark, d)
-    docs = ws.stage(keyed.documents(ws.table("item_docs"), "item", "item_id"), "item_documents")
+    path = _fresh(ws, "item_documents")
+    documents.write(keyed.documents(ws.table("item_docs"), "item", "item_id"), path)
+    docs = documents.read(spark, path)
     return keyed.get(docs, docs.select("key"), ws.table("item_docs").schema).select(
         "key", "item_id", "category_code", "category_id", "price", "views", "unique_users", "popularity_score",
         F.size("tokens").cast("bigint").alias("tokens"))

@@ -21,14 +21,26 @@ class Workspace:
         tag = hashlib.md5(str(source).encode()).hexdigest()[:12]
         self.spark, self.source = spark, source
         self.root = root or f"{shared_dir(spark)}/shoplens/{spark.sparkContext.applicationId}/{tag}"
-        self._tables, self._models = {}, {}
+        self._tables, self._models, self._folders = {}, {}, {}
 
     def path(self, name):
         return f"{self.root}/{name}"
 
     def stage(self, df, name):
         """Writes a frame to a folder of its own and reads it back: what is still read is never overwritten."""
-        return overwrite(df, self.path(f"{name}/{uuid.uuid4().hex}"))
+        return overwrite(df, self.fresh(name))
+
+    def fresh(self, name):
+        """A folder that nobody has written yet."""
+        return self.path(f"{name}/{uuid.uuid4().hex}")
+
+    def folder(self, name, write):
+        """A folder that ``write`` fills once per session."""
+        if name not in self._folders:
+            path = self.fresh(name)
+            write(path)
+            self._folders[name] = path
+        return self._folders[name]
 
     def table(self, name):
         if name not in self._tables:
@@ -42,6 +54,7 @@ class Workspace:
 
 
 def workspace(spark, source):
+    """The session's workspace over a folder of tables."""
     key = (spark.sparkContext.applicationId, str(source))
     if key not in _OPEN:
         _OPEN[key] = Workspace(spark, source)

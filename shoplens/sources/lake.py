@@ -8,6 +8,9 @@ from shoplens.schema import EVENT_FIELDS, LAKE, PARTITIONS
 from shoplens.session import shared_dir
 
 
+BATCH = "batch"  # innermost folder of what a stream writes
+
+
 def with_partitions(df, timestamp="timestamp"):
     """Zero-padded year, month and day; a time that does not parse falls on today."""
     when = F.coalesce(F.try_to_timestamp(F.col(timestamp).cast("string")), F.current_timestamp())
@@ -27,7 +30,7 @@ def write(events, path, mode="append"):
 
 def read(spark, path, days=None):
     """Reads from the root, so a filter on the partition columns prunes directories."""
-    lake = spark.read.schema(LAKE).parquet(path)
+    lake = spark.read.schema(LAKE).parquet(path).select(*EVENT_FIELDS, *PARTITIONS)
     return lake if days is None else lake.where(F.make_date("year", "month", "day").between(*days))
 
 

@@ -276,6 +276,32 @@ def test_keyed_documents_and_writer(spark, tmp_path):
     assert rows(found) == [("thing:2", 2, "x", [])]
 
 
+def test_documents_are_committed_whole(spark, tmp_path):
+    from pyspark.errors import PythonException
+    from shoplens.sources import documents
+    path = str(tmp_path / "docs")
+    frame = lambda n, text: spark.range(n).repartition(4).select(F.concat(F.lit("k:"), F.col("id").cast("string")).alias("key"), F.lit(text).alias("value"))
+    assert documents.read(spark, path).count() == 0
+    documents.write(frame(50, 'é "x"\n'), path)
+    assert {(r.key, r.value) for r in documents.read(spark, path).collect()} == {(f"k:{i}", 'é "x"\n') for i in range(50)}
+
+    def fails(batches):
+        for batch in batches:
+            yield batch
+            if any(k.endswith("7") for k in batch["key"]):
+                raise ValueError("a task that fails after some rows")
+
+    with pytest.raises(PythonException):
+        documents.write(frame(50, "new").mapInPandas(fails, "key string, value string"), path)
+    assert {r.value for r in documents.read(spark, path).collect()} == {'é "x"\n'}
+    assert len(list((tmp_path / "docs").glob("*.jsonl"))) <= 4
+    documents.write(frame(3, "more"), path, "append")
+    assert documents.read(spark, path).count() == 53
+    documents.write(frame(2, "only"), path)
+    assert rows(documents.read(spark, path), "key") == [("k:0", "only"), ("k:1", "only")]
+    assert len(list((tmp_path / "docs").glob("*.jsonl"))) <= 2
+
+
 def test_experiment_rows_are_checked(spark, tmp_path):
     df = spark.createDataFrame([("1", "5", "control", "click"), ("1", "5", "blue", "click"), ("1", None, "control", "click"),
                                 ("1", "5", "treatment", "view")], "user_id string, item_id string, variant string, event_type string")
