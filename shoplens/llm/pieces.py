@@ -1,12 +1,12 @@
 """Pieces of a SentencePiece vocabulary: encoding, and decoding.
 
-A unigram model (scores are log probabilities) is encoded by a streaming Viterbi search. In a BPE model scores are
-ranks of merges, whose sum means nothing: it is encoded by its merges.
+Both kinds of model are encoded by one streaming search over boundaries with back pointers. In a unigram model the best sum
+of scores (log probabilities) decides which piece ends at a boundary, in a BPE model which piece merging leaves there.
 """
 
-import heapq
 import zlib
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -14,6 +14,7 @@ import sentencepiece
 from shoplens.llm.common import id_and_text
 
 SPACE = "▁"
+FED = 4096  # characters given to the search at a time
 UNKNOWN_PENALTY = 10.0  # an unknown character scores this much below the worst piece
 
 
@@ -59,7 +60,7 @@ class StreamingViterbi:
 
     def _converged(self):
         """The last boundary that every path to a boundary still in reach runs through."""
-        end = len(self.best) - 1
+        end = len(self.back) - 1
         points = set(range(max(0, end - self.longest + 1), end + 1))
         while len(points) > 1:
             latest = max(points)
@@ -116,7 +117,8 @@ class PieceCodec:
         return [self.bytes[b] for b in raw] if self.bytes else (self.unknown_id,)
 
     def _stretch(self, word):
-        self.viterbi.feed(word)
+        for start in range(0, len(word), FED):
+            self.viterbi.feed(word[start:start + FED])
         return np.array(self.viterbi.close(), "<u4").tobytes()
 
     def encode(self, text):
@@ -147,77 +149,152 @@ class PieceCodec:
         return self.model.decode(ids.tolist())
 
 
-class StreamingMerges:
-    """BPE of a stream of characters: of all neighbours whose join is a piece, the best-scoring, leftmost are joined.
+class StreamingPairs(StreamingViterbi):
+    """The same search where scores are ranks of merges, whose sum means nothing: a path counts if merging gives it.
 
-    Two characters that no piece holds side by side are a sure boundary: nothing is ever joined across it, and what
-    stands before it is merged and committed. The window is what has come since the last such boundary.
+    Merging joins, of all neighbours whose join is a piece, the best-scoring, leftmost ones. A row of pieces is its result
+    if and only if each two neighbours are: merging what they spell gives these two. So a piece may end at a boundary if it
+    goes with the last piece of the path to where it starts; one does at each boundary, and that is its back pointer.
+    The window, the surviving paths and the rule when ids are committed are those of the search above; the last
+    committed piece is kept, since the next one has to go with it.
     """
 
-    def __init__(self, scores, ids):
-        self.scores, self.ids = scores, ids
-        self.inside = {p[i:i + 2] for p in scores for i in range(len(p) - 1)}
-        self.buffer, self.out = "", []
-
-    def _commit(self, part):
-        scores, parts, count = self.scores, list(part), len(part)
-        after, before = list(range(1, count + 1)), list(range(-1, count - 1))
-
-        def offer(left, right):
-            score = scores.get(parts[left] + parts[right])
-            if score is not None:
-                heapq.heappush(waiting, (-score, left, len(parts[left]), len(parts[right])))
-
-        waiting = []
-        for i in range(count - 1):
-            offer(i, i + 1)
-        while waiting:
-            _, left, n, m = heapq.heappop(waiting)
-            right = after[left]
-            if right >= count or len(parts[left]) != n or len(parts[right]) != m:
-                continue  # one of the two has been joined to something else
-            parts[left] += parts[right]
-            parts[right] = ""
-            after[left] = after[right]
-            if after[left] < count:
-                before[after[left]] = left
-                offer(left, after[left])
-            if before[left] >= 0:
-                offer(before[left], left)
-        for piece in parts:
-            if piece:
-                self.out.extend(self.ids(piece))
+    MEMORY = 2_000_000
+
+    def __init__(self, scores, ids, longest):
+        super().__init__(scores, ids, longest, None)
+        self.pairs, self.held = {}, 0
+        self.automaton = ahocorasick.Automaton()
+        for piece in scores:
+            self.automaton.add_word(piece, piece)
+        self.automaton.make_automaton()
+        self._restart()
+
+    def _restart(self):
+        self.buffer, self.back, self.last, self.out = "", [0], [""], []
+        self.dropped = 0
+
+    def merged(self, text):
+        """The pieces that merging a short text gives."""
+        parts, score = list(text), self.scores.get
+        values = [score(text[i:i + 2], -1e300) for i in range(len(text) - 1)]
+        while values:
+            best = max(values)
+            if best == -1e300:
+                break
+            i = values.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del values[i]
+            if i:
+                values[i - 1] = score(parts[i - 1] + parts[i], -1e300)
+            if i < len(values):
+                values[i] = score(parts[i] + parts[i + 1], -1e300)
+        return parts
+
+    def _together(self, before, piece):
+        own = self.pairs.get(before)
+        if own is None:
+            own = self.pairs[before] = {}
+        found = own.get(piece)
+        if found is None:
+            if self.held >= self.MEMORY:
+                self.pairs, self.held, own = {}, 0, {}
+                self.pairs[before] = own
+            found = own[piece] = self.merged(before + piece) == ([before, piece] if before else [piece])
+            self.held += 1
+        return found
+
+    def _ends_here(self, piece):
+        self.back.append(len(self.back) - len(piece))
+        self.last.append(piece)
+
+    def _commit(self, boundary):
+        path, at = [], boundary
+        while at:
+            path.append(self.last[at])
+            at = self.back[at]
+        for piece in reversed(path):
+            self.out.extend(self.ids(piece))
+        self.buffer, self.last = self.buffer[boundary:], self.last[boundary:]
+        self.back = [max(0, b - boundary) for b in self.back[boundary:]]
+        self.dropped += boundary
 
     def feed(self, text):
-        buffer, start = self.buffer + text, 0
-        for i in range(max(1, len(self.buffer)), len(buffer)):
-            if buffer[i - 1:i + 1] not in self.inside:
-                self._commit(buffer[start:i])
-                start = i
-        self.buffer = buffer[start:]
+        """One automaton over all pieces reads on, and names at each character the pieces that end there, longest first."""
+        self.buffer += text
+        back, last, together = self.back, self.last, self._together
+        # pieces that end in the new text start at most the longest piece's length before it
+        first, dropped = max(0, len(back) - self.longest), self.dropped
+        for index, piece in self.automaton.iter(self.buffer[first:]):
+            end, size = first + index + 1 + dropped - self.dropped, len(piece)
+            if end < len(back) or end < size:
+                continue  # that boundary has its piece, or this one starts before what is committed
+            while len(back) < end:
+                self._ends_here(self.buffer[len(back) - 1])  # a character that no piece ends with
+            if size == 1 or together(last[end - size], piece):
+                back.append(end - size)
+                last.append(piece)
+                if end > 2 * self.longest:
+                    boundary = self._converged()
+                    if boundary:
+                        self._commit(boundary)
+                        back, last = self.back, self.last
+        while len(self.back) <= len(self.buffer):
+            self._ends_here(self.buffer[len(self.back) - 1])
 
     def close(self):
-        self._commit(self.buffer)
-        out, self.buffer, self.out = self.out, "", []
+        self._commit(len(self.back) - 1)
+        out = self.out
+        self._restart()
         return out
 
 
 class MergeCodec(PieceCodec):
-    """Encodes with a BPE model as the model's own encoder does. No piece crosses a stretch, so no merge does."""
+    """Encodes with a BPE model as the model's own encoder does."""
 
     def __init__(self, path, memory=900_000):
         super().__init__(path, memory)
-        self.merges = StreamingMerges(self.viterbi.scores, self._ids)
-
-    def _stretch(self, word):
-        self.merges.feed(word)
-        return np.array(self.merges.close(), "<u4").tobytes()
+        self.viterbi = StreamingPairs(self.viterbi.scores, self._ids, self.viterbi.longest)
 
 
 def codec_of(path):
-    """The codec for the kind of model: scores of a BPE model are ranks, whole numbers."""
-    codec = PieceCodec(path)
-    return MergeCodec(path) if all(s == int(s) for s in codec.viterbi.scores.values()) else codec
+    """The codec for the kind of model that its trainer's settings name."""
+    return MergeCodec(path) if model_type(path) == BPE else PieceCodec(path)
+
+
+UNIGRAM, BPE = 1, 2  # fixed values: the model types of the model file's trainer settings
+
+
+def model_type(path):
+    """The type in a model file: field 3 of its trainer settings, which are field 2 (protocol buffer wire format)."""
+    def fields(raw):
+        at = 0
+
+        def number():
+            nonlocal at
+            value = shift = 0
+            while True:
+                byte = raw[at]
+                at += 1
+                value |= (byte & 127) << shift
+                shift += 7
+                if byte < 128:
+                    return value
+
+        while at < len(raw):
+            tag = number()
+            if tag & 7 == 0:
+                yield tag >> 3, number()
+            elif tag & 7 == 2:
+                size = number()
+                yield tag >> 3, raw[at:at + size]
+                at += size
+            else:
+                at += 8 if tag & 7 == 1 else 4
+
+    with open(path, "rb") as source:
+        settings = b"".join(value for name, value in fields(source.read()) if name == 2)
+    return next((value for name, value in fields(settings) if name == 3), UNIGRAM)
 
 
 _MADE = {}  # one codec for each model in a Python worker, kept from task to task
