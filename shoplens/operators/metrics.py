@@ -33,15 +33,17 @@ def run_summary(events, matrix, recommended=None):
     (partly before anything moves) leaves every key once; counting them by kind gives all distinct counts, and the
     users' numbers of events are there for the cold ones.
     """
-    key = lambda kind, column: F.struct(F.lit(kind).alias("kind"), F.col(column).cast("string").alias("key"))
-    marked = events.select("timestamp", F.explode(F.array(key("user", "user_id"), key("item", "item_id"), key("session", "session_id"))).alias("k"))
-    once = marked.groupBy("k.kind", "k.key").agg(F.count("*").alias("n"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
-    kind = lambda name: (F.col("kind") == name) & F.col("key").isNotNull()
+    key = lambda kind, id_, name: F.struct(F.lit(kind).alias("kind"), id_.cast("long").alias("id"), name.cast("string").alias("name"))
+    nothing, (user, item, session) = F.lit(None), range(3)
+    marked = events.select("timestamp", F.explode(F.array(
+        key(user, F.col("user_id"), nothing), key(item, F.col("item_id"), nothing), key(session, nothing, F.col("session_id")))).alias("k"))
+    once = marked.groupBy("k.kind", "k.id", "k.name").agg(F.count("*").alias("n"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
+    kind = lambda which: (F.col("kind") == which) & (F.col("id").isNotNull() | F.col("name").isNotNull())
     base = once.agg(
-        F.coalesce(F.sum(F.when(F.col("kind") == "user", F.col("n"))), F.lit(0)).alias("events"), E.minute_text(F.min("first")).alias("start"),
-        E.minute_text(F.max("last")).alias("end"), F.count_if(kind("user")).alias("users"), F.count_if(kind("item")).alias("items"),
-        F.count_if(kind("session")).alias("sessions"),
-        F.count_if(kind("user") & (F.col("n") <= config.COLD_START_MAX_EVENTS)).alias("cold_start_users"))
+        F.coalesce(F.sum(F.when(F.col("kind") == user, F.col("n"))), F.lit(0)).alias("events"), E.minute_text(F.min("first")).alias("start"),
+        E.minute_text(F.max("last")).alias("end"), F.count_if(kind(user)).alias("users"), F.count_if(kind(item)).alias("items"),
+        F.count_if(kind(session)).alias("sessions"),
+        F.count_if(kind(user) & (F.col("n") <= config.COLD_START_MAX_EVENTS)).alias("cold_start_users"))
     row = base.select("*", _one(matrix, F.count("*")).alias("interaction_pairs"),
                       F.lit(config.COLD_START_MAX_EVENTS).alias("cold_start_threshold"))
     row = row.withColumn("matrix_density", F.round(

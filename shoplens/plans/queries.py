@@ -37,7 +37,7 @@ def r6(column, name=None):
 
 
 def _weighted(spark, d):
-    return I.weigh(behaviour_events(spark, d))
+    return I.weigh(workspace(spark, d).table("events"))
 
 
 def _matrix(spark, d):
@@ -423,8 +423,8 @@ def top_roots(spark, d):
     round((SELECT count(*) FROM mx) / (count(DISTINCT user_id) * count(DISTINCT item_id)), 6) AS matrix_density,
     round((SELECT count(DISTINCT item_id) FROM content) / count(DISTINCT item_id), 4) AS recommended_coverage FROM ev""")
 def run_summary(spark, d):
-    events = behaviour_events(spark, d)
-    return metrics.run_summary(events, I.matrix_of(events), _content(spark, d).select("item_id").distinct())
+    ws = workspace(spark, d)
+    return metrics.run_summary(ws.table("events"), ws.table("interaction_matrix"), _content(spark, d).select("item_id").distinct())
 
 
 @query("lake_summary", """SELECT count(*) AS events, count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items,
