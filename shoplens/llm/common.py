@@ -2,6 +2,8 @@
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from shoplens.session import shared_dir
@@ -105,13 +107,64 @@ def _across(placed):
                                                           ).select("a", "b").distinct()
 
 
-def linked_classes(members, weight, verify):
+CELLS = 1 << 18  # counters that order tokens from rare to frequent; any order is exact, a good one is fast
+
+
+def rare_first_pairs(rows, sets, least):
+    """(a, b), a < b, of different roots: every pair whose token sets may have a Jaccard similarity of `least` is among them.
+
+    `rows` has (node, root, ...), `sets` gives the distinct 64-bit tokens of each row of an Arrow batch. If all sets are
+    read from rare to frequent tokens, two sets that alike share one of their first (1 - least) parts: only these first
+    tokens are keys. What many unlike texts have in common is frequent and comes last, so the buckets stay short where
+    buckets of sketches were long. Tokens are counted in a fixed number of hash cells, a small array for the tasks.
+    """
+    mask = np.uint64(CELLS - 1)
+
+    def count(batches):
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            own = [s for s in sets(batch) if len(s)]
+            if own:
+                total += np.bincount((np.concatenate(own) & mask).astype(np.int64), minlength=CELLS)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["cell", "n"])
+
+    seen = np.zeros(CELLS, np.int64)
+    for r in rows.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        seen[r.cell] = r.n
+
+    def first(batches):
+        for batch in batches:
+            sizes, chosen = [], []
+            for own in sets(batch):
+                often = seen[(own & mask).astype(np.int64)]
+                # one more than needed, for sets of hashes may be a little smaller than what they stand for
+                need = len(own) - int(np.ceil(least * len(own) - 1e-9)) + 2
+                order = np.lexsort((own, often))[:need]
+                chosen.append(own[order][often[order] > 1].view(np.int64))
+                sizes.append(len(own))
+            yield pa.RecordBatch.from_arrays([batch["node"], batch["root"], pa.array(sizes, pa.int64()),
+                                              pa.array(chosen, pa.list_(pa.int64()))], ["node", "root", "size", "tokens"])
+
+    keyed = rows.mapInArrow(first, "node long, root long, size long, tokens array<long>")
+    keyed = staged(keyed.select("node", "root", "size", F.explode("tokens").alias("token")), "first-tokens")
+    shared = keyed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
+        F.col("low") != F.col("high")).select("token")
+    open_ = keyed.join(shared, "token", "left_semi")
+    side = lambda name: open_.select("token", F.col("node").alias(name), F.col("root").alias(f"root_{name}"), F.col("size").alias(f"size_{name}"))
+    near = F.least("size_a", "size_b") + 1 >= F.lit(least) * F.greatest("size_a", "size_b")
+    return side("a").join(side("b"), "token").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & near
+                                                    ).select("a", "b").distinct()
+
+
+def linked_classes(members, weight, verify, rest=None):
     """(node, root) of all linked nodes. `members`: (key, node, n, ...), `verify`: pairs (a, b) -> links (a, b).
 
     The classes are those that comparing all pairs of every bucket gives. In buckets of up to SMALL members that is
     done. A larger bucket is mostly a group of copies: its members are compared with a centre, and while that finds
     links, in up to ROUNDS more rounds with a centre out of a component that had none in this bucket. Pairs inside a
-    component need no comparison; all that are left between components are then compared.
+    component need no comparison. Of what is left between components, `rest` ((node, root) -> pairs that may be linked, all of
+    them) names the pairs to compare; without it all are compared.
     """
     first = F.max_by("node", weight)
     tested = staged(bucket_pairs(members, first), "pairs")
@@ -142,6 +195,7 @@ def linked_classes(members, weight, verify):
         if found.isEmpty():
             break
         links = links.unionByName(found)
-    pairs = staged(_across(placed).join(tested, ["a", "b"], "left_anti"), "pairs")
+    left = _across(placed) if rest is None else rest(placed.select("node", "root").distinct())
+    pairs = staged(left.join(tested, ["a", "b"], "left_anti"), "pairs")
     found = staged(verify(pairs), "links")
     return roots if found.isEmpty() else components(links.unionByName(found))

@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import id_and_text, linked_classes, staged
+from shoplens.llm.common import id_and_text, linked_classes, rare_first_pairs, staged
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, LENGTH = 30, 4
@@ -74,11 +74,11 @@ def sketches(shingles, count=SKETCHES, length=LENGTH):
     """`count` 64-bit keys; texts with fewer than `length` shingles give sketches of all they have."""
     if not len(shingles):
         return np.empty(0, np.int64)
-    labelled = mixed(shingles + occurrences(shingles) * np.uint64(0xD6E8FEB86659FD93))
+    names = labelled(shingles)
     take = min(length, len(shingles))
     chosen = np.empty((take, count), np.uint64)
     for i in range(count):
-        drawn = mixed((labelled ^ np.uint64(0x9E3779B97F4A7C15 * (i + 1) % (1 << 64))) * np.uint64(0x94D049BB133111EB))
+        drawn = mixed((names ^ np.uint64(0x9E3779B97F4A7C15 * (i + 1) % (1 << 64))) * np.uint64(0x94D049BB133111EB))
         chosen[:, i] = shingles[np.sort(np.argpartition(drawn, take - 1)[:take])]
     keys = np.arange(1, count + 1, dtype=np.uint64)
     for values in chosen:
@@ -135,10 +135,21 @@ def _sketched(rows):
     def run(batches):
         shingler = _SHINGLER
         for batch in batches:
-            keys = [sketches(shingler(t)).tolist() for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(keys, pa.list_(pa.int64()))], ["node", "keys"])
+            shingles = [shingler(t) for t in batch["text"].to_pylist()]
+            keys = [sketches(s).tolist() for s in shingles]
+            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(keys, pa.list_(pa.int64())), pa.array(map(len, shingles), pa.int64())],
+                                             ["node", "keys", "size"])
 
-    return rows.select("node", "text").mapInArrow(run, "node long, keys array<long>")
+    return rows.select("node", "text").mapInArrow(run, "node long, keys array<long>, size long")
+
+
+def labelled(shingles):
+    """Shingles with their occurrence: a multiset as a set. Texts alike by alignment are alike by these sets."""
+    return mixed(shingles + occurrences(shingles) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _token_sets(batch):
+    return [np.unique(labelled(s)) if len(s) else s for s in map(_SHINGLER, batch["text"].to_pylist())]
 
 
 def _verified(pairs, texts, least):
@@ -150,26 +161,33 @@ def _verified(pairs, texts, least):
                     for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
-            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b"))
+    side = lambda name, text: texts.select(F.col("node").alias(name), F.col("text").alias(text), F.col("size").alias(f"size_{name}"))
+    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(
+        F.least("size_a", "size_b") >= F.lit(least - 1e-9) * F.greatest("size_a", "size_b"))
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def text_classes(rows, least=SIMILARITY):
     """(node, root) of all texts that are linked to another one; `rows` has (node, text), node a hash of the text.
 
-    Texts of a bucket of equal sketches are compared as `linked_classes` says. The first centre is the member that
+    Texts of a bucket of equal sketches are compared as `linked_classes` says; what is left open in large buckets (texts
+    with a passage in common, mostly) meets by its rarest shingles, which leaves out no pair of that similarity. The first centre is the member that
     shares most sketches with other texts, the original of a group of copies.
     """
-    members = staged(_sketched(rows).select("node", F.explode("keys").alias("key")).distinct(), "sketches")
+    members = staged(_sketched(rows).select("node", "size", F.explode("keys").alias("key")).distinct(), "sketches")
     sizes = members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     members = members.join(sizes, "key")
     score = members.groupBy("node").agg(F.sum("n").alias("score"))
-    members = staged(members.join(score, "node").select("key", "node", "n", "score"), "buckets")
-    wanted = members.select("node").distinct()
-    texts = staged(rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
+    members = staged(members.join(score, "node").select("key", "node", "n", "score", "size"), "buckets")
+    wanted = members.groupBy("node").agg(F.first("size").alias("size"))
+    texts = staged(rows.select("node", "text").join(wanted, "node").groupBy("node").agg(
+        F.first("text").alias("text"), F.first("size").alias("size")), "texts")
+
+    def rest(open_):
+        return rare_first_pairs(open_.join(texts.select("node", "text"), "node"), _token_sets, least)
+
     tie = F.xxhash64("node").bitwiseAND(F.lit((1 << 20) - 1))
-    return linked_classes(members, F.col("score") * (1 << 20) + tie, lambda pairs: _verified(pairs, texts, least))
+    return linked_classes(members, F.col("score") * (1 << 20) + tie, lambda pairs: _verified(pairs, texts, least), rest)
 
 
 def _nodes(docs):

@@ -102,3 +102,50 @@ def test_table_empty_clashing(small_docs, clashing, make_docs):
     assert om.classes(make_docs([])).count() == 0 and om.keep_one(make_docs([])).count() == 0
     assert om.keep_one(clashing).columns == clashing.columns
     assert om.keep_one(clashing).count() == om.keep_one(small_docs).count()
+
+
+def test_texts_with_a_passage_in_common_in_large_buckets(make_docs, monkeypatch):
+    """Hundreds share a passage of most of their words and are unlike; copies among them are found."""
+    from shoplens.llm import common
+    monkeypatch.setattr(common, "SMALL", 4)
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    passage, rows = [word() for _ in range(100)], []
+    for _ in range(120):
+        own = [word() for _ in range(45)]
+        rows.append((len(rows), " ".join(passage + own)))
+        if rng.random() < 0.3:
+            own[rng.randrange(45)] = word()
+            rows.append((len(rows), " ".join(passage + own)))
+    found = om.classes(make_docs(rows)).collect()
+    assert sorted(((r.doc_id, r.class_id) for r in found), key=str) == brute(rows)
+
+
+def test_rare_first_pairs_leave_out_no_alike_pair(spark):
+    from shoplens.llm import common
+    rng = np.random.default_rng(12)
+    shared = rng.integers(0, 1 << 62, 60)
+    sets = [np.unique(np.r_[rng.choice(shared, 40, replace=False), rng.integers(0, 1 << 62, rng.integers(0, 14))]) for _ in range(150)]
+    rows = spark.createDataFrame([(i, i, s.tolist()) for i, s in enumerate(sets)], "node long, root long, own array<long>")
+    read = lambda batch: [np.array(s, np.int64).astype(np.uint64) for s in batch["own"].to_pylist()]
+    got = {(r.a, r.b) for r in common.rare_first_pairs(rows, read, 0.8).collect()}
+    alike_ = {(i, j) for j in range(150) for i in range(j) if len(set(sets[i]) & set(sets[j])) >= 0.8 * len(set(sets[i]) | set(sets[j]))}
+    assert alike_ <= got
+
+
+def test_measured_recall_of_the_sketches(make_docs):
+    """Pairs at a similarity just above the limit, none of them in the same class by another way."""
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows, pairs = [], []
+    while len(pairs) < 150:
+        base = [word() for _ in range(150)]
+        copy = list(base)
+        for _ in range(rng.randrange(1, 4)):
+            copy[rng.randrange(150)] = word()
+        texts = " ".join(base), " ".join(copy)
+        if alike(*texts):
+            pairs.append((len(rows), len(rows) + 1))
+            rows += [(len(rows), texts[0]), (len(rows) + 1, texts[1])]
+    found = {r.doc_id: r.class_id for r in om.classes(make_docs(rows)).collect()}
+    assert np.mean([found[a] == found[b] for a, b in pairs]) >= 0.99
