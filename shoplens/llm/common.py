@@ -4,6 +4,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shoplens.session import shared_dir
@@ -107,51 +108,34 @@ def _across(placed):
                                                           ).select("a", "b").distinct()
 
 
-CELLS = 1 << 18  # counters that order tokens from rare to frequent; any order is exact, a good one is fast
-
-
 def rare_first_pairs(rows, sets, least):
-    """(a, b), a < b, of different roots: every pair whose token sets may have a Jaccard similarity of `least` is among them.
+    """(a, b), a < b, of different roots: every pair whose token sets have a Jaccard similarity of `least` is among them.
 
     `rows` has (node, root, ...), `sets` gives the distinct 64-bit tokens of each row of an Arrow batch. If all sets are
-    read from rare to frequent tokens, two sets that alike share one of their first (1 - least) parts: only these first
-    tokens are keys. What many unlike texts have in common is frequent and comes last, so the buckets stay short where
-    buckets of sketches were long. Tokens are counted in a fixed number of hash cells, a small array for the tasks.
+    read in one order, two sets alike share one of their first (1 - least) parts, so only these tokens are keys. The order:
+    first tokens that only one root has, which no pair can share, then the others from rare to frequent, counted over all
+    rows. What many unlike texts have in common comes last, so buckets stay short where buckets of sketches were long, and
+    a text with a (1 - least) part of its own gives no key at all.
     """
-    mask = np.uint64(CELLS - 1)
-
-    def count(batches):
-        total = np.zeros(CELLS, np.int64)
-        for batch in batches:
-            own = [s for s in sets(batch) if len(s)]
-            if own:
-                total += np.bincount((np.concatenate(own) & mask).astype(np.int64), minlength=CELLS)
-        held = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["cell", "n"])
-
-    seen = np.zeros(CELLS, np.int64)
-    for r in rows.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        seen[r.cell] = r.n
-
-    def first(batches):
+    def spread(batches):
         for batch in batches:
-            sizes, chosen = [], []
-            for own in sets(batch):
-                often = seen[(own & mask).astype(np.int64)]
-                # one more than needed, for sets of hashes may be a little smaller than what they stand for
-                need = len(own) - int(np.ceil(least * len(own) - 1e-9)) + 2
-                order = np.lexsort((own, often))[:need]
-                chosen.append(own[order][often[order] > 1].view(np.int64))
-                sizes.append(len(own))
-            yield pa.RecordBatch.from_arrays([batch["node"], batch["root"], pa.array(sizes, pa.int64()),
-                                              pa.array(chosen, pa.list_(pa.int64()))], ["node", "root", "size", "tokens"])
-
-    keyed = rows.mapInArrow(first, "node long, root long, size long, tokens array<long>")
-    keyed = staged(keyed.select("node", "root", "size", F.explode("tokens").alias("token")), "first-tokens")
-    shared = keyed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
-        F.col("low") != F.col("high")).select("token")
-    open_ = keyed.join(shared, "token", "left_semi")
-    side = lambda name: open_.select("token", F.col("node").alias(name), F.col("root").alias(f"root_{name}"), F.col("size").alias(f"size_{name}"))
+            own = sets(batch)
+            sizes = np.array([len(s) for s in own], np.int64)
+            tokens = np.concatenate(own).view(np.int64) if len(own) else np.empty(0, np.int64)
+            node, root = (np.repeat(batch[c].to_numpy(zero_copy_only=False), sizes) for c in ("node", "root"))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (node, root, np.repeat(sizes, sizes), tokens)],
+                                             ["node", "root", "size", "token"])
+
+    tokens = staged(rows.mapInArrow(spread, "node long, root long, size long, token long"), "tokens")
+    counts = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where(
+        F.col("low") != F.col("high")).select("token", "n")
+    by_node = Window.partitionBy("node")
+    # one more than needed, for sets of hashes may be a little smaller than what they stand for
+    needed = F.count("*").over(by_node) - F.ceil(F.lit(least) * F.col("size") - 1e-9) + 2
+    keyed = tokens.join(counts, "token").withColumn("needed", needed).where(F.col("needed") > 0).withColumn(
+        "at", F.row_number().over(by_node.orderBy("n", "token"))).where(F.col("at") <= F.col("needed"))
+    keyed = staged(keyed.select("node", "root", "size", "token"), "first-tokens")
+    side = lambda name: keyed.select("token", F.col("node").alias(name), F.col("root").alias(f"root_{name}"), F.col("size").alias(f"size_{name}"))
     near = F.least("size_a", "size_b") + 1 >= F.lit(least) * F.greatest("size_a", "size_b")
     return side("a").join(side("b"), "token").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & near
                                                     ).select("a", "b").distinct()

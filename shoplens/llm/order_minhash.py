@@ -20,6 +20,7 @@ from shoplens.llm.common import id_and_text, linked_classes, rare_first_pairs, s
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, LENGTH = 30, 4
 MEMORY = 500_000
+DRAWN = 50_000  # hashes of one text that are in memory at once
 
 
 class Shingler:
@@ -77,9 +78,11 @@ def sketches(shingles, count=SKETCHES, length=LENGTH):
     names = labelled(shingles)
     take = min(length, len(shingles))
     chosen = np.empty((take, count), np.uint64)
-    for i in range(count):
-        drawn = mixed((names ^ np.uint64(0x9E3779B97F4A7C15 * (i + 1) % (1 << 64))) * np.uint64(0x94D049BB133111EB))
-        chosen[:, i] = shingles[np.sort(np.argpartition(drawn, take - 1)[:take])]
+    seeds = (np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
+    at_once = max(1, DRAWN // len(names))  # hash functions; one after the other for a very long text
+    for i in range(0, count, at_once):
+        drawn = mixed((names ^ seeds[i:i + at_once]) * np.uint64(0x94D049BB133111EB))
+        chosen[:, i:i + at_once] = shingles[np.sort(np.argpartition(drawn, take - 1, axis=1)[:, :take], axis=1)].T
     keys = np.arange(1, count + 1, dtype=np.uint64)
     for values in chosen:
         keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + values)
