@@ -15,14 +15,14 @@ CAPACITY = 2048
 END_ID = 1
 GROUP_PIECES = 2048  # pieces a group has on average; a group is one unit of work of bounded size
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, copy long"
 
 
 def cut_pieces(docs, vocabulary, capacity=CAPACITY, end_id=END_ID, with_ids=False):
     """Tokenises every text and cuts it after each `capacity` ids: one row per piece.
 
-    A null or empty text is the end id alone. Repeated rows are pieces of their own; other columns are ignored.
-    `with_ids` adds the ids as little-endian 32-bit integers.
+    A null or empty text is the end id alone. Repeated rows are pieces of their own; other columns are ignored. `copy`
+    numbers equal rows of a batch, so that they can be dealt to different groups. `with_ids` adds the ids as little-endian 32-bit integers.
     """
     encoder = encoder_factory(vocabulary, keeps_spaces=False)
     schema = PIECES + (", ids binary" if with_ids else "")
@@ -30,17 +30,24 @@ def cut_pieces(docs, vocabulary, capacity=CAPACITY, end_id=END_ID, with_ids=Fals
     def cut(batches):
         encode, end = encoder(), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            out = {name: [] for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")}
+            out = {name: [] for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "copy", "ids")}
+            rows = {}
             for doc_id, own in zip(batch["doc_id"].to_pylist(), encode.each(batch["text"])):
                 ids = own.tobytes() + end
                 total = len(ids) // 4
+                copy = None
                 for start in range(0, total, capacity):
                     part = ids[4 * start:4 * (start + capacity)]
+                    crc = zlib.crc32(part)
+                    if copy is None:  # rows that begin alike count as equal here, which is enough
+                        row = doc_id, total, crc
+                        copy = rows[row] = rows.get(row, -1) + 1
                     out["doc_id"].append(doc_id)
                     out["start"].append(start)
                     out["length"].append(len(part) // 4)
-                    out["ids_crc32"].append(zlib.crc32(part))
+                    out["ids_crc32"].append(crc)
                     out["doc_tokens"].append(total)
+                    out["copy"].append(copy)
                     if with_ids:
                         out["ids"].append(part)
             if not with_ids:
@@ -83,13 +90,15 @@ class FirstFit:
 def pack(pieces, capacity=CAPACITY, group_pieces=GROUP_PIECES, seed=0):
     """Adds `sequence_id` and `offset` to rows (doc_id, start, length, ...), lengths from 1 to `capacity`.
 
-    Pieces are dealt to groups by a hash of their id and start, so a group is a random sample of all lengths
-    and long documents spread over many groups; the number of groups follows the number of pieces, so a group
+    Pieces are dealt to groups by a hash of their id, start, content and number among equal rows, so a group is a random
+    sample of all lengths, and long documents, null ids and repeated rows spread over many groups; the number of groups follows the number of pieces, so a group
     fits a task at any size. Each group is packed on its own, longest first. Ties in length go by id and start.
     `pieces` is read twice (its rows are counted): pass a written table.
     """
     groups = max(1, -(-pieces.count() // group_pieces))
-    schema = pieces.schema.simpleString()[len("struct<"):-1].replace(":", " ") + ", sequence_id long, offset long"
+    names = [c for c in ("doc_id", "start", "length", "ids_crc32", "copy") if c in pieces.columns]
+    kept = pieces.drop("copy")
+    schema = kept.schema.simpleString()[len("struct<"):-1].replace(":", " ") + ", sequence_id long, offset long"
 
     def first_fit_decreasing(key, part):
         order = pc.sort_indices(part, [("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")],
@@ -101,7 +110,7 @@ def pack(pieces, capacity=CAPACITY, group_pieces=GROUP_PIECES, seed=0):
         return (part.append_column("sequence_id", pa.array([b * groups + group for b, _ in places], pa.int64()))
                 .append_column("offset", pa.array([capacity - left for _, left in places], pa.int64())))
 
-    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start", F.lit(seed)), F.lit(groups)))
+    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64(*names, F.lit(seed)), F.lit(groups))).drop("copy")
     return dealt.groupBy("pack_group").applyInArrow(first_fit_decreasing, schema)
 
 

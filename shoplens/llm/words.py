@@ -30,8 +30,10 @@ class _Memory(dict):
 
 
 class WordEncoder:
-    """Gives the ids that the tokenizer gives for the whole text, special strings taken as ordinary text.
+    """Gives the ids that the tokenizer gives for the whole text.
 
+    The vocabulary's added tokens (its special strings) are looked for first, as they stand; what lies between them is
+    encoded by itself, as the tokenizer does.
     Both kinds of public vocabulary cut a text into words before they merge inside words, and a single space
     between two other characters is always such a cut. So a text is cut at spaces, and what stands between them
     is cut further by the vocabulary's own pattern (where it has characters of Latin-1 only). Words are encoded
@@ -42,6 +44,11 @@ class WordEncoder:
 
     def __init__(self, path, keeps_spaces, memory=800_000):
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("added tokens that are not matched as they stand")
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
+        self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.tokenizer.encode_special_tokens = True
         self.keeps_spaces, self.memory = keeps_spaces, memory
         self.known, self.words = _Memory(self), {}
@@ -71,8 +78,14 @@ class WordEncoder:
 
     def ids(self, text):
         """The ids of a text as a little-endian 32-bit array."""
+        parts = self.special.split(text) if any(s in text for s in self.added) else [text]
+        raw = [self.added[part] if at % 2 else self._plain(part) for at, part in enumerate(parts)]
+        return np.frombuffer(b"".join(raw), "<u4")
+
+    def _plain(self, text):
+        """The ids of a text without added tokens, as bytes."""
         if not text:
-            return np.empty(0, "<u4")
+            return b""
         if len(self.known) + len(self.words) > self.memory:
             self.known.clear()  # put together again from words
             if len(self.words) > 0.7 * self.memory:
@@ -81,10 +94,9 @@ class WordEncoder:
         try:
             if self.keeps_spaces and (not first or first[-1].isspace()):
                 raise _Unsure
-            raw = self._pieces(first) + b"".join(map(self.known.__getitem__, rest))
+            return self._pieces(first) + b"".join(map(self.known.__getitem__, rest))
         except _Unsure:
-            raw = self._pieces(text)
-        return np.frombuffer(raw, "<u4")
+            return self._pieces(text)
 
     def each(self, column):
         """The ids of every text of an Arrow column in turn."""

@@ -12,7 +12,6 @@ from shoplens.llm import bitplanes
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER = Tokenizer.from_file(VOCABULARY)
-TOKENIZER.encode_special_tokens = True
 
 
 def want(docs):

@@ -5,7 +5,6 @@ from collections import defaultdict
 import pytest
 
 from shoplens.llm import mixing
-from shoplens.llm.common import read_table
 
 DOCS = "doc_id long, text string, source string"
 

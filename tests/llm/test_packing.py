@@ -13,7 +13,6 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 tokenizer = Tokenizer.from_file(VOCABULARY)
-tokenizer.encode_special_tokens = True
 
 
 def expected_ids(text):
@@ -57,6 +56,16 @@ def test_empty_table_and_clashing_columns(make_docs, clashing, small_docs):
             == sorted(map(tuple, packing.pack_documents(small_docs, VOCABULARY).collect())))
 
 
+def test_null_ids_and_equal_rows_spread_over_groups(spark):
+    from pyspark.sql import functions as F
+    docs = spark.range(40_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("").alias("text"))
+    pieces = packing.staged(packing.cut_pieces(docs, VOCABULARY), "pieces")
+    placed = packing.pack(pieces, group_pieces=500)
+    groups = placed.groupBy((F.col("sequence_id") % 80).alias("g")).count().collect()
+    assert len(groups) == 80 and max(r["count"] for r in groups) < 1500
+    assert placed.count() == 40_000 and "copy" not in placed.columns
+
+
 def test_real_sequences(make_docs):
     docs = make_docs([(i, "some words to pack " * (i + 1)) for i in range(40)])
     rows = packing.sequences(packing.pack_documents(docs, VOCABULARY, 128, with_ids=True), 128).collect()

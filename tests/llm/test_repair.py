@@ -3,9 +3,6 @@ import random
 import re
 import zlib
 from collections import defaultdict
-from functools import lru_cache
-
-import pytest
 
 from shoplens.llm import repair
 from shoplens.llm.common import read_table

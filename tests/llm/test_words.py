@@ -12,10 +12,9 @@ ENCODERS = {name: WordEncoder(public_tokenizers.path(name), keeps, memory=200)
 PLAIN = {}
 for name in ENCODERS:
     PLAIN[name] = Tokenizer.from_file(public_tokenizers.path(name))
-    PLAIN[name].encode_special_tokens = True
 
 PARTS = ["word", "don't", "it's", "'tis", "I'll", " ", "  ", "\n", "\n\n", "\t", "\x85", "\xa0", "\x1c", ".", "...", "1234",
-         "½", "É", "é", "Σ", "日本", "🙂", "<|endoftext|>", "<|startoftext|>", "a_b", "x" * 40, " ", "İ", "K"]
+         "½", "É", "é", "Σ", "日本", "🙂", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "a_b", "x" * 40, " ", "İ", "K"]
 
 
 def same(text):
@@ -23,6 +22,11 @@ def same(text):
         assert encoder.ids(text).tolist() == PLAIN[name].encode(text, add_special_tokens=False).ids, (name, text)
 
 
+def test_special_strings():
+    for text in ["Hello, it's <|endoftext|> me", "<|endoftext|><|startoftext|>", " <|endoftext|> ", "a <|endoftext|>b<|endoftext", "  <|startoftext|>\n"]:
+        same(text)
+
+
 def test_mixed_parts():
     rng = random.Random(1)
     for _ in range(1500):
