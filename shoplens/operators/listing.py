@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shoplens.operators.catalog import by_popularity, popularity, public_columns, public_view
+from shoplens.operators.catalog import by_popularity, popularity, public_view
 
 GRAM, BLOCK_ITEMS = 3, 4096
 _END = "\x00"

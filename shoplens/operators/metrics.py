@@ -1,7 +1,5 @@
 """Figures about a run and about the lake."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from shoplens import config

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shoplens import config
 from shoplens.operators.rerank import rerank, variety
-from shoplens.operators.rerank.candidates import complement_categories, open_candidates, popular_in_category
+from shoplens.operators.rerank.candidates import complement_categories, popular_in_category
 from shoplens.operators import profiles
 from shoplens.sources.lake import overwrite
 
