@@ -1,18 +1,25 @@
 """Hybrid re-ranking of candidates for many requests at once."""
 
+from pyspark.sql import functions as F
+
 from shoplens import config
 from shoplens.operators.catalog import popular_head
 from shoplens.operators.ranking import head_list
 from shoplens.operators.rerank.candidates import with_candidates
 from shoplens.operators.rerank.context import request_rows, session_docs, session_rows
-from shoplens.operators.rerank.factors import explained, with_factors, with_scores
+from shoplens.operators.rerank.factors import VIEWER, explained, with_factors, with_scores
 from shoplens.operators.rerank.variety import diversify
 
 
 def prepared_requests(requests, items, users, lists, sessions, complements, head):
-    """Requests with viewer, context and candidates in one row each; ``sessions`` are session documents."""
+    """Requests with what scoring needs of viewer and context, and with candidates, in one row each.
+
+    ``sessions`` are session documents. The lists that candidates come from are not written again with them.
+    """
     popular = head_list(head, ["place"], config.POPULAR_CANDIDATES, "item_id")
-    return with_candidates(request_rows(requests, items, users, lists, sessions, complements), popular)
+    rows = with_candidates(request_rows(requests, items, users, lists, sessions, complements), popular)
+    shown = F.when(F.col("context").isNotNull(), F.struct("context.tokens")).alias("context")
+    return rows.select("user_id", "context_item_id", *VIEWER, "strategy", shown, "context_norm", "seen", "candidates")
 
 
 def rerank(requests, items, users, lists, sessions, complements, stage=lambda df, name: df, known=None):

@@ -241,3 +241,29 @@ def test_page_of_an_item_beyond_the_popular_head(spark, monkeypatch):
     found = by_item(run(spark, items, [("r", None, 20, 9)]))
     assert found[21][0].source == "category" and found[22][0].source == "complement"
     assert found[22][1]["complement"] == config.DEPARTMENT_VALUE
+
+
+def test_viewers_move_once_and_requests_keep_what_scoring_reads(spark):
+    """Heavy and usual users get their own documents; viewer rows are not dealt anew, candidate lists not written again."""
+    from shoplens.operators.rerank import prepared_requests, session_docs, session_rows
+    table = lambda data, ddl: spark.createDataFrame(list(data), ddl)
+    items = table([thing(1), thing(2)], ITEMS)
+    ids = spark.range(1500).select(F.col("id").cast("int").alias("user_id"))
+    asks = ids.unionByName(spark.range(40).select(F.lit(7).alias("user_id"))).unionByName(spark.range(3).select(F.lit(None).cast("int").alias("user_id")))
+    requests = asks.select(F.expr("uuid()").alias("request_id"), "user_id", F.when(F.col("user_id") == 9, 1).alias("context_item_id"), F.lit(5).alias("limit")) \
+        .localCheckpoint()
+    users = ids.select("user_id", F.col("user_id").cast("double").alias("avg_price"), *[
+        F.lit(None).cast(t).alias(n) for n, t in (("factors", "array<double>"), ("profile", "map<string,double>"),
+                                                  ("categories", "array<struct<key:string,share:double>>"),
+                                                  ("brands", "array<struct<key:string,share:double>>"), ("seen", "array<int>"))])
+    head = items.select("item_id", F.col("item_id").alias("place"))
+    live = session_docs(session_rows(table([], SESSIONS), items, head.select("item_id")))
+    rows = prepared_requests(requests, items, users, table([], LISTS), live, table([], COMPLEMENTS), head)
+    assert not {"session", "recommendations", "categories", "brands"} & set(rows.columns)
+    assert [f.name for f in rows.schema["context"].dataType] == ["tokens"]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "hashpartitioning(user_id" in line and "_salt" in line]
+    got = rows.select("user_id", "reference_price", "profile_name", "context").collect()
+    assert len(got) == 1543 and sum(r.user_id is None for r in got) == 3
+    assert all(r.reference_price == (None if r.user_id in (None, 0) else 40.0 if r.user_id == 9 else float(r.user_id)) for r in got)
+    assert {r.user_id for r in got if r.profile_name == "product"} == {9} == {r.user_id for r in got if r.context is not None}
