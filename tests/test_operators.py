@@ -160,6 +160,43 @@ def test_content_never_repeats_history_and_caps_brands(spark):
     assert [i < 8 for i in got] == [True] * 3 + [False] * 4 + [True]
 
 
+def test_content_scores_stay_in_their_block(spark, capsys):
+    """No row per user and pool item is aggregated, joined or sorted; results as by a plain loop, odd weights included."""
+    tfidf = [(i, t, w) for i in range(12) for t, w in ((f"cat:{i % 3}", 0.6), (f"brand:{i % 2}", 0.5), ("cat:all", 0.4)) if not (i > 8 and t[0] == "b")]
+    scores = [(1, 0, 2.0), (1, 5, 1.0), (2, 1, 0.0), (2, 4, 3.0), (3, 2, None), (4, 7, 0.0), (5, 9, None), (5, 3, 1.0), (6, 99, 1.0), (7, 10, 1e-9)]
+    known = {u: {i for v, i, _ in scores if v == u} for u, _, _ in scores}
+    popular = {i: None if i == 6 else float(i * 7 % 5) for i in range(12)}
+    recs = content.recommend(spark.createDataFrame(scores, "user_id int, item_id int, interaction_score double"),
+                             spark.createDataFrame(tfidf, "item_id int, token string, weight double"),
+                             spark.createDataFrame(list(popular.items()), "item_id int, popularity_score double"), k=4, pool_size=11, cap=2)
+    order = sorted(popular, key=lambda i: (popular[i] is None, -(popular[i] or 0), i))[:11]
+    brand = {i: next((t for j, t, _ in tfidf if j == i and t[0] == "b"), i) for i in order}
+    want = []
+    for u, own in sorted(known.items()):
+        profile = {}
+        for v, i, s in scores:
+            for j, t, w in tfidf:
+                if v == u and i == j:
+                    profile.setdefault(t, []).extend([] if s is None else [s * w])
+        norm = sum(sum(p) ** 2 for p in profile.values()) ** 0.5
+        profile = {t: sum(p) / norm if p else None for t, p in profile.items()} if norm else {}
+        found = {}
+        for i in order:
+            shared = [(profile[t], w) for j, t, w in tfidf if j == i and t in profile]
+            if i not in own and (shared or i in order[:7]):
+                terms = [p * w for p, w in shared if p is not None]
+                found[i] = None if shared and not terms else round(sum(terms), 10)
+        best = sorted(found, key=lambda i: (found[i] is None, -(found[i] or 0), order.index(i)))
+        late = [i for n, i in enumerate(best) if sum(brand[j] == brand[i] for j in best[:n]) >= 2]
+        shown = ([i for i in best if i not in late] + late)[:4]
+        want += [(u, i, found[i], n + 1) for n, i in enumerate(shown)]
+    assert rows(recs, "user_id", "rank") == want
+    recs.explain()
+    plan = capsys.readouterr().out
+    assert "FlatMapCoGroupsInArrow" in plan and "HashAggregate(keys=[user_id#" in plan
+    assert "inline(" not in plan and "keys=[user_id, item_id" not in plan
+
+
 @pytest.mark.parametrize("item_block,pool_block", [(8192, 2048), (5, 3)])
 def test_neighbours_against_a_loop(spark, item_block, pool_block):
     import random
