@@ -3,6 +3,7 @@
 import itertools
 import json
 import math
+import re
 
 import pytest
 from event_tables import make_events, rows
@@ -160,6 +161,31 @@ def test_content_never_repeats_history_and_caps_brands(spark):
     assert [i < 8 for i in got] == [True] * 3 + [False] * 4 + [True]
 
 
+def _executed(df):
+    """The plan that was run, with the exchanges that were reused."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_profile_rows_of_usual_users_are_not_summed_before_they_move(spark):
+    history = [(u, i, 1.0 + i) for u in range(1500) for i in (u % 5, 5 + u % 3)] + [(9999, i, 2.0) for i in range(8)] * 20 + [(None, 1, 3.0)] * 2
+    tfidf = [(i, t, 0.1 * (i + 1)) for i in range(8) for t in (f"a{i % 2}", f"b{i % 4}")]
+    got = profiles.token_profiles(spark.createDataFrame(history, "user_id int, item_id int, interaction_score double"),
+                                  spark.createDataFrame(tfidf, "item_id int, token string, weight double"))
+    want = {}
+    for u, i, s in history:
+        for j, t, w in tfidf:
+            if i == j:
+                want.setdefault(u, {})[t] = want.get(u, {}).get(t, 0.0) + s * w
+    found = {(r.user_id, r.token): r.profile_weight for r in got.collect()}
+    assert len(found) == sum(map(len, want.values()))
+    for u, own in want.items():
+        norm = math.sqrt(sum(x * x for x in own.values()))
+        assert all(found[u, t] == pytest.approx(x / norm) for t, x in own.items())
+    moved = _executed(got).split("REPARTITION_BY_NUM")[1]
+    assert "Union" in moved.split("HashAggregate")[0]
+
+
 def test_content_scores_stay_in_their_block(spark, capsys):
     """No row per user and pool item is aggregated, joined or sorted; results as by a plain loop, odd weights included."""
     tfidf = [(i, t, w) for i in range(12) for t, w in ((f"cat:{i % 3}", 0.6), (f"brand:{i % 2}", 0.5), ("cat:all", 0.4)) if not (i > 8 and t[0] == "b")]
