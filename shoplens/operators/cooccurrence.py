@@ -70,7 +70,10 @@ def scored_pairs(weighted, max_items=None):
     totals = items.groupBy("item_id").agg(F.sum("w").alias("total"))
     together = session_pairs(items).groupBy("item_a", "item_b").agg(
         F.sum("w").alias("w"), F.count("*").alias("sessions"))
-    both = together.join(totals.toDF("item_a", "total_a"), "item_a").join(totals.toDF("item_b", "total_b"), "item_b")
+    # null-safe, so that no filter on ids reaches the sessions below and their shuffles serve the totals as well
+    side = lambda x: totals.select(F.col("item_id").alias(f"_{x}"), F.col("total").alias(f"total_{x}"))
+    met = lambda x: F.col(f"item_{x}").eqNullSafe(F.col(f"_{x}"))
+    both = together.where(F.col("item_a").isNotNull() & F.col("item_b").isNotNull()).join(side("a"), met("a")).join(side("b"), met("b"))
     score = F.round(F.col("w") / F.sqrt(F.col("total_a") * F.col("total_b")), config.SCORE_DIGITS)
     mirrored = F.explode(F.array(F.struct(F.col("item_a").alias("item_id"), F.col("item_b").alias("other_id")),
                                  F.struct(F.col("item_b").alias("item_id"), F.col("item_a").alias("other_id"))))

@@ -186,6 +186,22 @@ def test_profile_rows_of_usual_users_are_not_summed_before_they_move(spark):
     assert "Union" in moved.split("HashAggregate")[0]
 
 
+def test_item_users_are_counted_over_bare_pairs(spark):
+    events = make_events(spark, [(0, "view", 1, "a.b", "x", 1.0, 1, "s"), (1, "cart", 1, "a.b", "y", 2.0, 1, "s"), (2, "view", 1, None, "x", 3.0, 2, "t"),
+                                 (3, "view", 1, None, None, 3.0, None, "t"), (4, "view", -1, "c.d", "x", 3.0, 7, "t"), (5, "view", 2, None, "x", 3.0, None, "t")]) \
+        .withColumn("item_id", F.expr("nullif(item_id, -1)"))
+    meta = IT.item_metadata(events)
+    assert {r.item_id: (r.brand, r.views, r.carts, r.unique_users) for r in meta.collect()} == {1: ("y", 3, 1, 2), None: ("x", 1, 0, 1), 2: ("x", 1, 0, 0)}
+    assert "distinct" not in _executed(meta)
+
+
+def test_partners_and_totals_share_the_sessions(spark):
+    events = make_events(spark, [(i, "view", i % 4 if i % 7 else -1, "a.b", "x", 1.0, 1, f"s{i // 3}" if i % 9 else None) for i in range(40)]) \
+        .withColumn("item_id", F.expr("nullif(item_id, -1)"))
+    plan = _executed(cooccurrence.bought_together(I.weigh(events)))
+    assert len(re.findall(r"[-:] Exchange hashpartitioning\(session_id#\d+, item_id", plan)) == 1
+
+
 def test_content_scores_stay_in_their_block(spark, capsys):
     """No row per user and pool item is aggregated, joined or sorted; results as by a plain loop, odd weights included."""
     tfidf = [(i, t, w) for i in range(12) for t, w in ((f"cat:{i % 3}", 0.6), (f"brand:{i % 2}", 0.5), ("cat:all", 0.4)) if not (i > 8 and t[0] == "b")]
