@@ -6,6 +6,11 @@ from pathlib import Path
 
 import pytest
 
+from shoplens.operators import interactions as I
+from shoplens.plans import jobs
+from shoplens.plans.workspace import workspace
+from shoplens.session import pin_utc
+
 HIDE = """
 import sys
 class Hidden:
@@ -26,3 +31,12 @@ def test_core_queries_without(hidden):
                           cwd=Path(__file__).resolve().parent.parent)
     assert done.returncode == 0, done.stderr
     assert done.stdout.strip() == "0 []"
+
+
+def test_pairs_are_split_once(spark, small, capsys):
+    """Readers of train and test read what was written instead of hashing every pair again."""
+    ws = workspace(pin_utc(spark), small)
+    for part, plain in zip(jobs.train_test(ws), I.split_pairs(ws.table("interaction_matrix"))):
+        assert part.exceptAll(plain).isEmpty() and plain.exceptAll(part).isEmpty()
+        part.explain()
+    assert "md5" not in capsys.readouterr().out
