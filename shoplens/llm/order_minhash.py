@@ -15,12 +15,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import id_and_text, linked_classes, rare_first_pairs, staged
+from shoplens.llm.common import id_and_text, linked_classes, may_be_alike, parities, rare_first_pairs, staged, unlike_bits
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, LENGTH = 30, 4
 MEMORY = 500_000
 DRAWN = 50_000  # hashes of one text that are in memory at once
+PARITY = 16  # longs of a text's parity sketch
 
 
 class Shingler:
@@ -140,10 +141,12 @@ def _sketched(rows):
         for batch in batches:
             shingles = [shingler(t) for t in batch["text"].to_pylist()]
             keys = [sketches(s).tolist() for s in shingles]
-            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(keys, pa.list_(pa.int64())), pa.array(map(len, shingles), pa.int64())],
-                                             ["node", "keys", "size"])
+            outlines = [parities(np.zeros(len(s), np.int64), labelled(s), 1, PARITY)[0] for s in shingles]
+            yield pa.RecordBatch.from_arrays(
+                [batch["node"], pa.array(keys, pa.list_(pa.int64())), pa.array(map(len, shingles), pa.int64()),
+                 pa.array(outlines, pa.list_(pa.int64()))], ["node", "keys", "size", "parity"])
 
-    return rows.select("node", "text").mapInArrow(run, "node long, keys array<long>, size long")
+    return rows.select("node", "text").mapInArrow(run, "node long, keys array<long>, size long, parity array<long>")
 
 
 def labelled(shingles):
@@ -156,7 +159,8 @@ def _token_sets(batch):
 
 
 def _verified(pairs, texts, least):
-    """The pairs (a, b) whose alignment reaches `least`. Texts come to pairs by two equality joins."""
+    """The pairs (a, b) whose alignment reaches `least`. Sizes and sketches come to pairs by two equality joins, and texts
+    to those pairs that these leave."""
     def run(batches):
         shingler = _SHINGLER
         for batch in batches:
@@ -164,9 +168,12 @@ def _verified(pairs, texts, least):
                     for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    side = lambda name, text: texts.select(F.col("node").alias(name), F.col("text").alias(text), F.col("size").alias(f"size_{name}"))
-    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(
-        F.least("size_a", "size_b") >= F.lit(least - 1e-9) * F.greatest("size_a", "size_b"))
+    outline = lambda name: texts.select(F.col("node").alias(name), F.col("size").alias(f"size_{name}"), F.col("parity").alias(f"parity_{name}"))
+    likely = pairs.join(outline("a"), "a").join(outline("b"), "b").where(
+        (F.least("size_a", "size_b") >= F.lit(least - 1e-9) * F.greatest("size_a", "size_b"))
+        & may_be_alike("size_a", "size_b", unlike_bits("parity_a", "parity_b", PARITY), least)).select("a", "b")
+    side = lambda name, text: texts.select(F.col("node").alias(name), F.col("text").alias(text))
+    both = likely.join(side("a", "x"), "a").join(side("b", "y"), "b")
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
@@ -177,17 +184,18 @@ def text_classes(rows, least=SIMILARITY):
     with a passage in common, mostly) meets by its rarest shingles, which leaves out no pair of that similarity. The first centre is the member that
     shares most sketches with other texts, the original of a group of copies.
     """
-    members = staged(_sketched(rows).select("node", "size", F.explode("keys").alias("key")).distinct(), "sketches")
+    drawn = staged(_sketched(rows).groupBy("node").agg(*[F.first(c).alias(c) for c in ("keys", "size", "parity")]), "sketches")
+    members = drawn.select("node", "size", F.explode(F.array_distinct("keys")).alias("key"))
     sizes = members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     members = members.join(sizes, "key")
     score = members.groupBy("node").agg(F.sum("n").alias("score"))
     members = staged(members.join(score, "node").select("key", "node", "n", "score", "size"), "buckets")
-    wanted = members.groupBy("node").agg(F.first("size").alias("size"))
+    wanted = drawn.join(members.select("node").distinct(), "node", "left_semi").select("node", "size", "parity")
     texts = staged(rows.select("node", "text").join(wanted, "node").groupBy("node").agg(
-        F.first("text").alias("text"), F.first("size").alias("size")), "texts")
+        F.first("text").alias("text"), F.first("size").alias("size"), F.first("parity").alias("parity")), "texts")
 
     def rest(open_):
-        return rare_first_pairs(open_.join(texts.select("node", "text"), "node"), _token_sets, least)
+        return rare_first_pairs(open_.join(texts.select("node", "text"), "node"), _token_sets, least, PARITY // 2)
 
     tie = F.xxhash64("node").bitwiseAND(F.lit((1 << 20) - 1))
     return linked_classes(members, F.col("score") * (1 << 20) + tie, lambda pairs: _verified(pairs, texts, least), rest)

@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from shoplens.llm import common
+from shoplens.llm.order_minhash import mixed
 
 
 def brute(buckets, alike):
@@ -37,3 +39,23 @@ def test_chains_in_a_bucket_of_hundreds(spark):
     """Each node is alike only to the next one: no centre reaches more than its neighbours."""
     nodes = [n for n in range(700) if n % 90]
     check(spark, {1: nodes}, lambda a, b: b - a == 1, F.col("b") - F.col("a") == 1)
+
+
+def test_parity_sketches_never_differ_more_than_sets():
+    rng = np.random.default_rng(3)
+    for size in (1, 14, 300, 5000):
+        a = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+        b = np.unique(np.r_[a[len(a) // 10:], rng.integers(0, 1 << 64, size // 10 + 1, dtype=np.uint64)])
+        x, y = common.parities(np.repeat([0, 1], [len(a), len(b)]), np.r_[a, b], 2).view(np.uint64)
+        assert int(np.bitwise_count(x ^ y).sum()) <= len(np.setxor1d(a, b))
+
+
+def test_token_join_gives_no_unlike_pairs(spark):
+    """300 sets that share their rarest tokens with 20 others and little else, and two sets alike to 0.8."""
+    rng = np.random.default_rng(4)
+    common_part = [np.r_[np.arange(100 * (i % 15), 100 * (i % 15) + 12), rng.choice(np.arange(10_000, 11_000), 40, replace=False)] for i in range(300)]
+    twin = np.r_[np.arange(20_000, 20_036), np.arange(100, 104)]
+    own = [np.unique(mixed(s.astype(np.uint64))) for s in [*common_part, twin, np.r_[twin[4:], np.arange(204, 208)]]]
+    rows = spark.createDataFrame([(i, i) for i in range(len(own))], "node long, root long").repartition(3)
+    got = {(r.a, r.b) for r in common.rare_first_pairs(rows, lambda batch: [own[i] for i in batch["node"].to_pylist()], 0.8).collect()}
+    assert (300, 301) in got and len(got) < 100, len(got)
