@@ -267,3 +267,20 @@ def test_viewers_move_once_and_requests_keep_what_scoring_reads(spark):
     assert len(got) == 1543 and sum(r.user_id is None for r in got) == 3
     assert all(r.reference_price == (None if r.user_id in (None, 0) else 40.0 if r.user_id == 9 else float(r.user_id)) for r in got)
     assert {r.user_id for r in got if r.profile_name == "product"} == {9} == {r.user_id for r in got if r.context is not None}
+
+
+def test_session_rows_are_numbered_before_items_meet_them(spark):
+    """No sort by user carries what the catalog brings along, and rows hold only what session documents read."""
+    from shoplens.operators.rerank.context import session_rows
+    catalog = "item_id int, brand string, category_code string, category_id long, price double, popularity_score double, " \
+              "tokens map<string,double>, factors array<double>, similar array<struct<item_id:int,score:double>>, " \
+              "also array<struct<item_id:int,score:double,sessions:bigint>>"
+    items = spark.createDataFrame([(i, "b", "c", 1, 2.0, 1.0, {"t": 1.0}, [1.0], [(i, 0.5)], [(i, 0.5, 2)]) for i in (1, 2, 3)], catalog)
+    sessions = spark.createDataFrame([(7, 0, 9, "view"), (7, 1, 2, "view"), (7, 2, 1, "cart"), (8, 0, 3, "view"), (8, 1, None, "view")],
+                                     "user_id int, position int, item_id int, event_type string")
+    found = session_rows(sessions, items, items.select("item_id").limit(1))
+    assert sorted((r.user_id, r.position, r.item_id, r.tokens["t"]) for r in found.collect()) == [(7, 0, 2, 1.0), (7, 1, 1, 1.0), (8, 0, 3, 1.0)]
+    assert "factors" not in found.columns
+    below = lambda node: [node] + [x for i in range(node.children().size()) for x in below(node.children().apply(i))]
+    windows = [x for x in below(found._jdf.queryExecution().optimizedPlan()) if x.nodeName() == "Window"]
+    assert windows and not any("also" in x.output().mkString(",") for x in windows)
